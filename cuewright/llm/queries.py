@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, mixing, simhash, tiff, token_counts
+from . import byte_bpe, mixing, simhash, tiff, token_counts, toxicity
 from .common import read, settle
 
 
@@ -36,6 +36,13 @@ def op6_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    out = toxicity.score(docs, model, ["doc_id"])
+    return out.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted", "toxic_spans")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = settle(mixing.sized(read(spark, sf_dir, "documents")))
     ends, sizes, targets = mixing.plan(docs)
@@ -49,5 +56,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), simhash.as_hex("fingerprint").alias("fingerprint"), "component_id", "n_links")
 
 
-QUERIES = {"op2_byte_bpe": op2_byte_bpe, "op3_token_counts": op3_token_counts, "op6_tiff": op6_tiff, "op9_mixing": op9_mixing, "op10_simhash": op10_simhash}
+QUERIES = {"op2_byte_bpe": op2_byte_bpe, "op3_token_counts": op3_token_counts, "op6_tiff": op6_tiff, "op7_toxicity": op7_toxicity, "op9_mixing": op9_mixing, "op10_simhash": op10_simhash}
 ORACLES: dict = {}
