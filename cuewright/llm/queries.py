@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, mixing, simhash, tiff, token_counts, toxicity
+from . import byte_bpe, mixing, quality, secrets, simhash, tiff, token_counts, toxicity
 from .common import read, settle
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = byte_bpe.encode(read(spark, sf_dir, "documents"))
     out = byte_bpe.decode(coded, ["id", "n_tokens", "ids"])
@@ -43,6 +48,22 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted", "toxic_spans")
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = secrets.scan(docs, repository=F.concat_ws("/", "source", "lang"), owner=F.col("source"))
+    base = F.filter("spans", lambda s: s["place"] < secrets.BASE)
+    count = lambda place: F.size(F.filter("spans", lambda s: s["place"] == place)).cast("long")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.as_text(base), 256).alias("base_sha256"),
+        secrets.as_text(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
+    )
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = settle(mixing.sized(read(spark, sf_dir, "documents")))
     ends, sizes, targets = mixing.plan(docs)
@@ -56,5 +77,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), simhash.as_hex("fingerprint").alias("fingerprint"), "component_id", "n_links")
 
 
-QUERIES = {"op2_byte_bpe": op2_byte_bpe, "op3_token_counts": op3_token_counts, "op6_tiff": op6_tiff, "op7_toxicity": op7_toxicity, "op9_mixing": op9_mixing, "op10_simhash": op10_simhash}
+QUERIES = {"op1_quality": op1_quality, "op2_byte_bpe": op2_byte_bpe, "op3_token_counts": op3_token_counts, "op6_tiff": op6_tiff, "op7_toxicity": op7_toxicity, "op8_secrets": op8_secrets, "op9_mixing": op9_mixing, "op10_simhash": op10_simhash}
 ORACLES: dict = {}
