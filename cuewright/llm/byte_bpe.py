@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import re
 import struct
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from .common import append_columns
 #: Code points of a chunk and of the overlap after it.
 CHUNK, OVERLAP = 65_536, 2_048
 #: Pieces that a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 # Fixed character classes up to U+024F: letters, numbers, white space.
 _L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", "\t-\r \x85\xa0"
@@ -58,15 +59,22 @@ class Codec:
 
     def __init__(self, path: str, pattern: str):
         import public_tokenizers
-        import tiktoken
 
         with open(path, "rb") as file:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-        self.encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.bytes = {v: k for k, v in ranks.items()}
-        self.ids = _Ids(self.encoding)
+            self.bytes = {int(b): base64.b64decode(a) for a, b in map(bytes.split, file)}
+        self.pattern = pattern
         self.fast = pattern == public_tokenizers.PATTERN
 
+    @cached_property
+    def encoding(self):
+        import tiktoken
+
+        return tiktoken.Encoding("own", pat_str=self.pattern, mergeable_ranks={v: k for k, v in self.bytes.items()}, special_tokens={})
+
+    @cached_property
+    def ids(self):
+        return _Ids(self.encoding)
+
     def encode(self, text: str | None) -> bytes:
         text = text or ""
         if self.fast and not _BEYOND.search(text):
@@ -85,7 +93,7 @@ class Codec:
             return [m.start() for m in _PIECE.finditer(text)]
         import regex
 
-        return [m.start() for m in regex.finditer(self.encoding._pat_str, text)]
+        return [m.start() for m in regex.finditer(self.pattern, text)]
 
 
 _codecs: dict[tuple[str, str], Codec] = {}

@@ -15,6 +15,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Rows that a Python worker holds as objects at once.
+ROWS = 256
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset."""
@@ -57,7 +60,7 @@ def append_columns(
 
     def run(batches):
         work = make()
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, max(1, whole.num_rows), ROWS)):
             made = work(*(batch.column(c).to_pylist() for c in inputs))
             out = pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in held] + [pa.array(v, type=k) for v, k in zip(made, kinds, strict=True)],
