@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, mixing, quality, secrets, simhash, tiff, token_counts, toxicity
+from . import byte_bpe, mixing, pii, quality, secrets, simhash, tiff, token_counts, toxicity
 from .common import read, settle
 
 
@@ -24,6 +24,19 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = pii.detect(docs, pii.fit(docs))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *map(count, pii.KINDS),
+        F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"),
+        pii.as_text(pii.merged("base", "added")).alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+    )
+
+
 def op6_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = tiff.text_media(read(spark, sf_dir, "documents"))
     out = tiff.pages(files, "media", ["id", "n_bytes", "media"])
@@ -77,5 +90,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), simhash.as_hex("fingerprint").alias("fingerprint"), "component_id", "n_links")
 
 
-QUERIES = {"op1_quality": op1_quality, "op2_byte_bpe": op2_byte_bpe, "op3_token_counts": op3_token_counts, "op6_tiff": op6_tiff, "op7_toxicity": op7_toxicity, "op8_secrets": op8_secrets, "op9_mixing": op9_mixing, "op10_simhash": op10_simhash}
+QUERIES = {"op1_quality": op1_quality, "op2_byte_bpe": op2_byte_bpe, "op3_token_counts": op3_token_counts, "op4_pii": op4_pii, "op6_tiff": op6_tiff, "op7_toxicity": op7_toxicity, "op8_secrets": op8_secrets, "op9_mixing": op9_mixing, "op10_simhash": op10_simhash}
 ORACLES: dict = {}
