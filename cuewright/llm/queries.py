@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, mixing, pii, quality, secrets, simhash, tiff, token_counts, toxicity
+from . import byte_bpe, licenses, mixing, pii, quality, secrets, simhash, tiff, token_counts, toxicity
 from .common import read, settle
 
 
@@ -43,6 +43,14 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as files of a tree: source / thousand / hundred / name; every seventh is named as a licence file."""
+    part = lambda n: F.concat(F.lit("d"), F.floor(F.col("doc_id") / n))
+    name = F.when(F.pmod("doc_id", F.lit(7)) == 0, F.concat(F.lit("LICENSE-"), "doc_id")).otherwise(F.concat(F.lit("doc-"), "doc_id", F.lit(".txt")))
+    path = F.concat_ws("/", "source", part(1000), part(100), name)
+    return licenses.scan(read(spark, sf_dir, "documents"), path).withColumnRenamed("id", "doc_id")
+
+
 def op6_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = tiff.text_media(read(spark, sf_dir, "documents"))
     out = tiff.pages(files, "media", ["id", "n_bytes", "media"])
@@ -96,5 +104,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), simhash.as_hex("fingerprint").alias("fingerprint"), "component_id", "n_links")
 
 
-QUERIES = {"pipeline": pipeline, "op1_quality": op1_quality, "op2_byte_bpe": op2_byte_bpe, "op3_token_counts": op3_token_counts, "op4_pii": op4_pii, "op6_tiff": op6_tiff, "op7_toxicity": op7_toxicity, "op8_secrets": op8_secrets, "op9_mixing": op9_mixing, "op10_simhash": op10_simhash}
+QUERIES = {"pipeline": pipeline, "op1_quality": op1_quality, "op2_byte_bpe": op2_byte_bpe, "op3_token_counts": op3_token_counts, "op4_pii": op4_pii, "op5_licenses": op5_licenses, "op6_tiff": op6_tiff, "op7_toxicity": op7_toxicity, "op8_secrets": op8_secrets, "op9_mixing": op9_mixing, "op10_simhash": op10_simhash}
 ORACLES: dict = {}
