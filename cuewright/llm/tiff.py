@@ -245,7 +245,7 @@ def read_page(data: bytes, order: str, fields: dict) -> tuple:
     w, h = (one(TILE_WIDTH), one(TILE_HEIGHT)) if tiled else (width, min(height, one(ROWS, height)))
     places, sizes = (fields[TILES], fields[TILE_BYTES]) if tiled else (fields[STRIPS], fields[STRIP_BYTES])
     across = -(-width // w)
-    image = np.zeros((height, width, samples), dtype=kind.newbyteorder("="))
+    image = np.zeros((height, width, samples), dtype=np.uint8 if bits == 8 else np.uint16)
     for i, (place, size) in enumerate(zip(places, sizes, strict=True)):
         y, x = i // across * h, i % across * w
         deep = h if tiled else min(h, height - y)
