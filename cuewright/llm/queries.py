@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from . import byte_bpe, licenses, mixing, pii, quality, secrets, simhash, tiff, token_counts, toxicity
 from .common import read, settle
+from .oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,4 +108,3 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"pipeline": pipeline, "op1_quality": op1_quality, "op2_byte_bpe": op2_byte_bpe, "op3_token_counts": op3_token_counts, "op4_pii": op4_pii, "op5_licenses": op5_licenses, "op6_tiff": op6_tiff, "op7_toxicity": op7_toxicity, "op8_secrets": op8_secrets, "op9_mixing": op9_mixing, "op10_simhash": op10_simhash}
-ORACLES: dict = {}
