@@ -108,3 +108,21 @@ def ffmpeg_decoder(width: int = 1280, quality: int = 2, fps: int = 1) -> Callabl
                 yield int(image.stem), image.read_bytes()
 
     return decode
+
+
+def ffmpeg_seek(width: int = 1280, quality: int = 2) -> Callable[[bytes, str], bytes]:
+    """The frame at a timestamp by the ffmpeg program, where it is installed."""
+
+    def seek(content: bytes, timestamp: str) -> bytes:
+        import pathlib
+        import subprocess
+        import tempfile
+
+        with tempfile.TemporaryDirectory() as at:
+            video = pathlib.Path(at, "video.mp4")
+            video.write_bytes(content)
+            image = pathlib.Path(at, "frame.jpg")
+            subprocess.run(["ffmpeg", "-v", "error", "-ss", timestamp, "-i", video, "-frames:v", "1", "-vf", f"scale={width}:-1", "-q:v", str(quality), image], check=True)
+            return image.read_bytes()
+
+    return seek

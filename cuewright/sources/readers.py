@@ -90,8 +90,19 @@ def images(spark: SparkSession, path: str, glob: str = "*.jpg") -> DataFrame:
     return raw.select(base_name(parent(parent(at))).alias("video_id"), at.alias("frame_path"), frame_key_of_name(base_name(at)).alias("frame_key"), "content")
 
 
-def videos(spark: SparkSession, path: str) -> DataFrame:
-    """The first video of each folder by name: not hidden, .mp4."""
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.mp4").load(path)
-    files = raw.filter(~F.startswith(base_name("path"), F.lit("."))).select(base_name(parent("path")).alias("video_id"), "path")
-    return files.groupBy("video_id").agg(F.min("path").alias("path"))
+def videos(spark: SparkSession, path: str, rule: str = "dense") -> DataFrame:
+    """The first video of each folder by name: video_id, path, content.
+
+    By the dense rule an .mp4 that isn't hidden; by the targeted one a file named after its folder that is no text or state.
+    """
+    raw = spark.read.format("binaryFile").load(path)
+    name, folder = base_name("path"), base_name(parent("path"))
+    if rule == "dense":
+        fit = F.endswith(name, F.lit(".mp4")) & ~F.startswith(name, F.lit("."))
+    elif rule == "targeted":
+        fit = F.startswith(name, folder) & ~name.rlike(r"\.(json|vtt|txt)$")
+    else:
+        raise ValueError(f"rule {rule!r}")
+    files = raw.filter(fit).select(folder.alias("video_id"), "path", "content")
+    first = files.groupBy("video_id").agg(F.min("path").alias("path"))
+    return files.join(first, ["video_id", "path"], "left_semi")

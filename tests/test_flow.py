@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 from cuewright import catalogue, cli
+from cuewright.operators import remote
 from cuewright.operators.providers import Status
 from cuewright.streaming.segments import merge_responses, state
 
@@ -43,6 +44,51 @@ def test_command_line(spark, tmp_path):
     assert cli.main(["enrich", str(tmp_path / "none")], spark) == Status.FAILED
 
 
+def test_capture_and_describe(spark, tmp_path):
+    video = tmp_path / "vid"
+    video.mkdir()
+    (video / "vid.mp4").write_bytes(b"abc")
+    (video / ".hidden.mp4").write_bytes(b"zz")
+    (video / "vid.vtt").write_text("WEBVTT\n")
+
+    def decode(content):
+        yield from ((i + 1, bytes([c])) for i, c in enumerate(content))
+
+    def seek(content, timestamp):
+        if timestamp.startswith("00:09"):
+            raise ValueError("past the end")
+        return content + timestamp.encode()
+
+    data = str(tmp_path)
+    assert cli.capture(spark, data, decoder=decode) == Status.DONE
+    assert json.loads((video / "dense_index.json").read_text()) == {f"{i:06d}": f"frames_dense/frame_{i:06d}.jpg" for i in (1, 2, 3)}
+    (video / "dense_index.json").write_text("{}")
+    assert (video / "frames_dense/frame_000002.jpg").read_bytes() == b"b"
+    (video / "dense_analysis.json").write_text('{"000001": {"description": "old", "delta": "x"}}')
+    assert cli.capture(spark, data, again=True, decoder=decode) == Status.DONE
+    assert json.loads((video / "dense_analysis.json").read_text()) == {}
+    (video / "targets.json").write_text(json.dumps({"vid.vtt": [{"exact_timestamp": "00:00:02", "context_snippet": "a"}, {"exact_timestamp": "00:09:00", "context_snippet": "b"}]}))
+    assert cli.extract(spark, data, seek) == Status.DONE
+    assert (video / "frames/vid_frame_00-00-02.jpg").read_bytes() == b"abc00:00:02"
+    got = json.loads((video / "targets.json").read_text())["vid.vtt"]
+    assert [g["frame_path"] for g in got] == ["frames/vid_frame_00-00-02.jpg", "frames/vid_frame_00-09-00.jpg"]
+    assert cli.describe(spark, data) == Status.PENDING
+    assert (video / "vlm_prompt_vid_vid.vtt_0.txt").read_text().startswith("Image: frames/vid_frame_00-00-02.jpg\n\n")
+    (video / "vlm_response_vid_vid.vtt_0.txt").write_text(" a chart \n")
+    assert cli.describe(spark, data) == Status.DONE
+    got = json.loads((video / "targets.json").read_text())["vid.vtt"]
+    assert got[0]["vlm_description"] == "a chart" and "vlm_description" not in got[1]
+
+
+def test_remote_pieces_are_optional():
+    settings = remote.Settings.from_env({"LLM_PROVIDER": "openai", "OPENAI_API_KEY": "k"})
+    with pytest.raises(RuntimeError, match="not installed"):
+        remote.gaps(settings)("prompt")
+    with pytest.raises(ValueError, match="provider"):
+        remote.describe(remote.Settings("none"))
+    assert remote.remote_video_id("https://example.com") is None and remote.download("https://example.com", "/nowhere") is False
+
+
 def test_streamed_merge_is_idempotent(spark, tmp_path):
     rows = [("v", "000001", "a", "x"), ("v", "000001", "a", "x"), ("v", "000002", "b", None)]
     src = str(tmp_path / "in")
