@@ -17,7 +17,6 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import SPACE, settle
 
@@ -123,13 +122,13 @@ def cutoffs(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_c
     cells = good.select("stratum", *(above(v).alias(r) for r, v in named.items()))
     pairs = F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), F.col(r).alias("bin")) for r in named)))
     bins = cells.groupBy("stratum", *named).count().select("stratum", "count", pairs.alias("x")).groupBy("stratum", "x.rule", "x.bin").agg(F.sum("count").alias("n"))
+    bins = settle(bins)
+    tests = bins.select("stratum").distinct().count() * len(named) * len(GRID)
     grid = bins.groupBy("stratum", "rule").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("by_bin"), F.sum("n").alias("good"))
-    strata = Window.partitionBy(F.lit(1))
-    grid = grid.withColumn("tests", F.size(F.collect_set(F.coalesce("stratum", F.lit("\0"))).over(strata)) * len(named) * len(GRID))
-    tried = grid.select("stratum", "rule", "good", "tests", "by_bin", F.posexplode(F.array(*map(F.lit, GRID))).alias("k", "cutoff"))
+    tried = grid.select("stratum", "rule", "good", "by_bin", F.posexplode(F.array(*map(F.lit, GRID))).alias("k", "cutoff"))
     bad = F.aggregate(F.map_entries("by_bin"), F.lit(0).cast("long"), lambda acc, e: acc + F.when(e["key"] > F.col("k"), e["value"]).otherwise(0))
     tried = tried.withColumn("rejected", bad).drop("by_bin")
-    safe = tried.filter(binomial_tail(F.col("good"), F.col("rejected"), share) <= F.lit(delta) / F.col("tests"))
+    safe = tried.filter(binomial_tail(F.col("good"), F.col("rejected"), share) <= delta / max(1, tests))
     return safe.groupBy("stratum", "rule").agg(F.min_by(F.struct("cutoff", "good", "rejected"), "cutoff").alias("x")).select("stratum", "rule", "x.*")
 
 
