@@ -72,20 +72,27 @@ class Tagger:
                 return value
 
         self.memory = Memory()
-        e = np.exp(np.array(model.moves))
-        self.neutral = e * np.array([1.0, math.exp(model.bias)])
+        e = np.exp(np.clip(model.moves, -15, 15))
+        self.neutral = e * np.array([1.0, math.exp(max(-30.0, min(30.0, model.bias)))])
         self.moves = e
         self.bridge = lru_cache(4_096)(self._bridge)
 
     def _bridge(self, n: int) -> tuple:
-        m = np.linalg.matrix_power(self.neutral / self.neutral.max(), min(n, 512))  # beyond, the ratios no longer change
-        return tuple((m / m.max()).ravel().tolist())
+        out, square = np.eye(2), self.neutral / self.neutral.max()
+        while n:  # scaled at every step, so that nothing underflows
+            if n & 1:
+                out = out @ square
+                out /= out.max()
+            square = square @ square
+            square /= square.max()
+            n >>= 1
+        return tuple(out.ravel().tolist())
 
     def marginals(self, at: list[int], values: list[float], n: int) -> list[float]:
         """P(toxic) of the tokens at the given places, of n; the others have no evidence."""
         (a, b), (c, d) = self.moves.tolist()
         gaps = [at[0], *(y - x - 1 for x, y in zip(at, at[1:], strict=False)), n - at[-1] - 1]
-        emit = [math.exp(min(30.0, v)) for v in values]
+        emit = [math.exp(max(-30.0, min(30.0, v))) for v in values]
         ahead, x, y = [], 1.0, 0.0  # a chain begins as after a token that isn't toxic
         for gap, e in zip(gaps, emit, strict=False):
             if gap:
