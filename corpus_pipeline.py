@@ -11,21 +11,33 @@ from cuewright.llm import byte_bpe, mixing, secrets, simhash, toxicity
 from cuewright.llm.common import read, settle, shared_dir
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The table with columns named by place, so that no column of it clashes with a stage's own; and the names by column."""
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go; it learns from the labels of this stage's own input."""
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, docs.columns, clean_only=True).select(docs.columns)
+    rows, names = _numbered(docs)
+    kept = toxicity.score(rows, model, rows.columns, names["text"], clean_only=True)
+    return kept.select(rows.columns).toDF(*docs.columns)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least id stays."""
-    found = simhash.near_duplicates(docs)
-    first = found.filter(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("kept_id")).groupBy("kept_id").count()
-    kept = docs.join(first, docs.doc_id.eqNullSafe(first.kept_id))
-    # An id that occurs once needs no further choice; rows that share an id are reduced to the first by text.
-    alone = kept.filter("count = 1").select(docs.columns)
-    several = kept.filter("count > 1").select(docs.columns).groupBy("doc_id").agg(F.min(F.struct([c for c in docs.columns if c != "doc_id"])).alias("x"))
-    return alone.unionByName(several.select(*(F.col(c if c == "doc_id" else f"x.{c}").alias(c) for c in docs.columns)))
+    """Of each group of near-duplicates the document with the least id stays: those whose fingerprints are near, and those whose
+    sets of five-word shingles are similar."""
+    found = simhash.near_duplicates(docs, similarity=0.8)
+    first = found.filter(F.col("id").eqNullSafe(F.col("component_id"))).groupBy(F.col("id").alias("kept_id")).agg(F.count("*").alias("n"))
+    rows, names = _numbered(docs)
+    key = names["doc_id"]
+    kept = rows.join(first, F.col(key).eqNullSafe(F.col("kept_id")))
+    # An id that occurs once needs no further choice; rows that share an id are reduced to the first by their other columns.
+    alone = kept.filter("n = 1").select(rows.columns)
+    others = [c for c in rows.columns if c != key]
+    several = kept.filter("n > 1").groupBy(key).agg(F.min(F.struct(*others)).alias("x"))
+    return alone.unionByName(several.select(key, "x.*")).toDF(*docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,12 +48,12 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of sources takes it."""
-    sizes = mixing.sized(docs)
-    ends, _, _ = mixing.plan(settle(sizes))
-    turned = docs.withColumns({"__pattern": F.array("source"), "__turn": mixing.seeded("doc_id", "text", mixing.SEED)})
-    out = turned.join(F.broadcast(ends), F.col("__pattern") == F.col("pattern"))
-    copies = F.col("passes") + F.when(F.col("__turn") <= F.col("last"), 1).otherwise(0)
-    return out.filter(copies > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(docs.columns)
+    ends, _, _ = mixing.plan(settle(mixing.sized(docs)))
+    rows, names = _numbered(docs)
+    turn = mixing.seeded(names["doc_id"], names["text"], mixing.SEED)
+    out = mixing.taken(rows.withColumns({"pattern": F.array(names["source"]), "turn": turn}), ends)
+    copies = out.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return copies.select(rows.columns).toDF(*docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -166,5 +166,5 @@ def plan(docs: DataFrame, share: float = 1.5, weights=(3, 1, 2), cap: int = 2, t
 
 
 def taken(docs: DataFrame, ends: DataFrame) -> DataFrame:
-    """How often the mix takes each row of ``sized``."""
+    """How often the mix takes each row (of ``sized``, or any with its pattern and turn): copies."""
     return docs.join(F.broadcast(ends), "pattern").withColumn("copies", F.col("passes") + F.when(F.col("turn") <= F.col("last"), 1).otherwise(0))

@@ -33,6 +33,12 @@ SHARD = 4_000
 LEVELS = 4
 #: Shingles hashed at once.
 SLICE = 50_000
+#: Words of the shingles that similarity is measured on, and the radius within which fingerprints of those are compared exactly.
+WORDS, NEAR = 5, 20
+#: Least shingles kept of a text as keys to shards, those used, and members up to which a key's shard is searched as a whole.
+KEYS, USED, MEMBERS = 10, 4, 300
+#: Documents whose texts are fetched by a table that is sent to every task; more of them are fetched by a shuffle.
+SENT = 50_000
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -184,11 +190,154 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")) if total is None else total
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = RADIUS, most: int = SHARD) -> DataFrame:
-    """id, fingerprint, component_id (least id that links reach) and n_links (fingerprints of the component besides its own)."""
+def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
+    """The sorted distinct XXH64 of the word shingles (fewer words: the whole sequence; none: empty)."""
+    found = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not found:
+        return np.zeros(0, dtype=np.uint64)
+    digest, join = xxhash.xxh64_intdigest, b" ".join
+    return np.unique(np.fromiter((digest(join(found[i : i + words]), SEED) for i in range(max(1, len(found) - words + 1))), dtype=np.uint64))
+
+
+def _majority(hashes: np.ndarray) -> int:
+    if not len(hashes):
+        return 0
+    ones = np.zeros(BITS, dtype=np.int64)
+    for at in range(0, len(hashes), SLICE):
+        part = hashes[at : at + SLICE].astype("<u8")
+        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def _signed(values) -> list[int]:
+    return [int(v) - (1 << 64) if int(v) >> 63 else int(v) for v in values]
+
+
+def similar_links(members: list[tuple[int, int, np.ndarray]], similarity: float, radius: int = NEAR) -> list[tuple[int, int]]:
+    """Links between nodes of members (node, fingerprint, shingles) whose Jaccard similarity is at least ``similarity``.
+
+    The BK-tree gives those whose fingerprints are near; they are compared exactly unless they are connected already.
+    """
+    tree, parent, at, out = BKTree(), list(range(len(members))), {}, []
+
+    def root(x):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for i, (node, print_, own) in enumerate(members):
+        for near in tree.within(print_, radius):
+            for j in at[near]:
+                a, b = root(i), root(j)
+                other = members[j][2]
+                if a == b or min(len(own), len(other)) < similarity * max(len(own), len(other)):
+                    continue
+                both = len(np.intersect1d(own, other, assume_unique=True))
+                if both >= similarity * (len(own) + len(other) - both):
+                    parent[max(a, b)] = min(a, b)
+                    if node != members[j][0]:
+                        out.append((node, members[j][0]))
+        if print_ not in at:
+            tree.add(print_)
+        at.setdefault(print_, []).append(i)
+    return out
+
+
+def copies(df: DataFrame, id_col: str, text_col: str, similarity: float, words: int = WORDS) -> DataFrame:
+    """Links (a, b) between the ``fingerprint`` of documents whose sets of word shingles are similar.
+
+    Similar sets share their least shingles almost surely (a similarity of 0.8 misses all of four with a chance of 0.002), so
+    documents meet in shards keyed by the least of their shingles that aren't common. Documents that have only common ones meet
+    in random blocks of those shards; as each is in several, dense groups stay connected. A shard's BK-tree of fingerprints of
+    the shingles finds who has a neighbour; only the texts of those are read again, and their sets compared.
+    """
+    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    longs = T.ArrayType(T.LongType())
+
+    def sketch():
+        def run(texts):
+            own = [shingle_set(t, words) for t in texts]
+            digests = [xxhash.xxh64_intdigest(m.tobytes(), SEED) for m in own]
+            return [_signed(map(fingerprint, texts)), _signed(digests), _signed(map(_majority, own)), [len(m) for m in own], [_signed(m[:KEYS]) for m in own]]
+
+        return run
+
+    fields = [("node", T.LongType()), ("digest", T.LongType()), ("print", T.LongType()), ("size", T.LongType()), ("keys", longs)]
+    rows = settle(append_columns(docs, ["text"], ["id"], fields, sketch))
+    rest = F.struct(F.col("id").isNull().alias("none"), "id", "print", "size", "keys")
+    distinct = rows.groupBy("node", "digest").agg(F.min(rest).alias("x")).select("node", "digest", "x.*")
+    keyed = distinct.select("node", "digest", "id", "print", "size", F.posexplode("keys").alias("place", "key"))
+    known = keyed.join(keyed.groupBy("key").count().filter("count > 1"), "key")
+    order = F.array_sort(F.collect_list(F.struct((F.col("count") > MEMBERS).alias("common"), "place", "key", "count")))
+    chosen = known.groupBy("node", "digest", "id", "print", "size").agg(F.slice(order, 1, USED).alias("k")).withColumn("k", F.explode("k"))
+    block = F.when(F.col("k.common"), F.pmod(F.xxhash64("digest", "k.key"), F.ceil(F.col("k.count") / MEMBERS))).otherwise(0)
+    member = F.struct("node", "digest", "id", "print", "size")
+    shards = chosen.groupBy("k.key", block.alias("block")).agg(F.collect_list(member).alias("members")).filter(F.size("members") > 1)
+    kind = df.schema[id_col].dataType.simpleString()
+
+    def near(batches):
+        for batch in (whole.slice(at, 64) for whole in batches for at in range(0, whole.num_rows, 64)):
+            out = []
+            for key, blocked, members in zip(*(batch.column(c).to_pylist() for c in ("key", "block", "members")), strict=True):
+                out += [(m["id"], key, blocked, m["node"], m["digest"]) for m in _with_neighbours(members, similarity)]
+            columns = list(zip(*out, strict=True)) if out else [[]] * 5
+            types = [batch.schema.field("members").type.value_type.field("id").type, *[pa.int64()] * 4]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), type=t) for c, t in zip(columns, types, strict=True)], names=["of", "key", "block", "node", "digest"])
+
+    found = shards.mapInArrow(near, f"of {kind}, key long, block long, node long, digest long")
+    wanted = settle(found.groupBy("of").agg(F.collect_set(F.struct("key", "block", "node", "digest")).alias("shards")))
+    if wanted.count() <= SENT:
+        wanted = F.broadcast(wanted)
+
+    def sets():
+        def run(texts):
+            made = [shingle_set(t, words) for t in texts]
+            return [_signed(xxhash.xxh64_intdigest(m.tobytes(), SEED) for m in made), _signed(map(_majority, made)), [m.view(np.int64).tolist() for m in made]]
+
+        return run
+
+    texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("of")))
+    full = append_columns(texts, ["text"], ["shards"], [("own", T.LongType()), ("print", T.LongType()), ("set", longs)], sets)
+    each = full.select("own", "print", "set", F.explode("shards").alias("s")).filter("own = s.digest")
+    groups = each.groupBy("s.key", "s.block").agg(F.collect_list(F.struct("s.node", "print", "set")).alias("members")).filter(F.size("members") > 1).select("members")
+
+    def search(batches):
+        for batch in (whole.slice(at, 1) for whole in batches for at in range(whole.num_rows)):
+            members = batch.column("members").flatten()
+            nodes, prints, held = (members.field(k) for k in ("node", "print", "set"))
+            rows = [(n, p & (1 << 64) - 1, np.asarray(own.values).view(np.uint64)) for n, p, own in zip(nodes.to_pylist(), prints.to_pylist(), held, strict=True)]
+            a = np.array(similar_links(rows, similarity), dtype=np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], names=["a", "b"])
+
+    return settle(groups.mapInArrow(search, "a long, b long").distinct())
+
+
+def _with_neighbours(members: list[dict], similarity: float, radius: int = NEAR) -> list[dict]:
+    """Members of a shard that have another of like size within the radius."""
+    tree, at, hit = BKTree(), {}, set()
+    for i, m in enumerate(members):
+        print_ = m["print"] & (1 << 64) - 1
+        for near in tree.within(print_, radius):
+            for j in at[near]:
+                if min(m["size"], members[j]["size"]) >= similarity * max(m["size"], members[j]["size"]):
+                    hit |= {i, j}
+        if print_ not in at:
+            tree.add(print_)
+        at.setdefault(print_, []).append(i)
+    return [members[i] for i in sorted(hit)]
+
+
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = RADIUS, most: int = SHARD, similarity: float | None = None) -> DataFrame:
+    """id, fingerprint, component_id (least id that links reach) and n_links (fingerprints of the component besides its own).
+
+    With a ``similarity``, documents whose sets of five-word shingles have at least that Jaccard similarity are linked, too.
+    """
     docs = settle(fingerprints(df, id_col, text_col, shingle))
     distinct = settle(docs.groupBy("fingerprint").agg(F.min("id").alias("least")))
-    roots = components(links(distinct, radius, most))
+    edges = links(distinct, radius, most)
+    if similarity is not None:
+        edges = edges.unionByName(copies(df, id_col, text_col, similarity)).distinct()
+    roots = components(edges)
     joined = distinct.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
     groups = joined.groupBy("root").agg(F.min("least").alias("component_id"), (F.count("*") - 1).alias("n_links"))
     of = settle(joined.select("fingerprint", "root").join(groups, "root").select("fingerprint", "component_id", "n_links"))

@@ -73,6 +73,13 @@ def test_marginals_by_brute_force():
     assert np.allclose(work.marginals(at, values, n), want[at])
 
 
+@pytest.mark.parametrize("moves", [[[-15.0, 15.0], [-15.0, -15.0]], [[15.0, -40.0], [-40.0, 15.0]], [[-15.0, 15.0], [15.0, -15.0]]])
+def test_extreme_weights_and_long_texts(moves):
+    model = toxicity.Model({"bad": 500.0, "mild": -500.0}, -80.0, moves, [0, 1, 1])
+    score, spans = toxicity.Tagger(model).score("so " * 100_000 + "bad " + "x " * 3000 + "mild mild bad mild")
+    assert 0 <= score <= 1 and isinstance(spans, str)
+
+
 def test_toxicity_without_labels(tables):
     docs, labels = tables
     for some in (labels.limit(0), labels.filter("toxic = 0")):
@@ -166,6 +173,43 @@ def test_near_duplicates_of_odd_tables(tables):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("members", [300, 4])
+def test_similar_documents_are_linked(spark, monkeypatch, members):
+    """By brute force; with small shards, where all shingles of the copies count as common, dense groups stay together."""
+    monkeypatch.setattr(simhash, "MEMBERS", members)
+    rng = random.Random(members)
+    texts = []
+    for _ in range(12):
+        words = prose(rng, 120).split()
+        texts.append(" ".join(words))
+        for _ in range(4 if members > 100 else 0):
+            copy = list(words)
+            for k in rng.sample(range(120), rng.choice([1, 2, 3, 6, 12])):
+                copy[k] = f"new{k}"
+            texts.append(" ".join(copy))
+    if members < 100:
+        words = prose(rng, 400).split()
+        texts += [" ".join([*words[:k], "odd", *words[k:]]) for k in range(0, 400, 10)]
+    texts += ["", "three short words", "Three  short words", "four quite short words", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.id: r.component_id for r in simhash.near_duplicates(rows, similarity=0.8).collect()}
+    sets = [set(simhash.shingle_set(t).tolist()) for t in texts]
+    prints = [plain_fingerprint(t) for t in texts]
+    parent = list(range(len(texts)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if (prints[i] ^ prints[j]).bit_count() <= 2 or both and both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    assert got == {i: root(i) for i in range(len(texts))}
+
+
 # ---- mixing
 
 
@@ -246,13 +290,17 @@ def test_pipeline_on_a_small_table(spark, tables, tmp_path):
     docs, labels = tables
     secret = "password = Zx9y8w7v6u5t"
     more = spark.createDataFrame([(2000, prose(random.Random(8), 30) + f" {secret}", "en", "s2", 9)], SCHEMA)
-    docs.unionByName(more).write.parquet(str(tmp_path / "documents.parquet"))
+    clash = {c: F.lit("clash") for c in ("score", "pattern", "turn", "copies", "id", "kept_id", "own", "fingerprint", "c0")}
+    docs = docs.unionByName(more).withColumns(clash)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
     labels.write.parquet(str(tmp_path / "labels.parquet"))
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
     at, kept = spark.read.parquet(str(tmp_path / "documents.parquet")), {}
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, at, str(tmp_path))
         if name != corpus_pipeline.STAGES[-1][0]:
-            assert out.columns == docs.columns
+            assert out.columns == docs.columns and (out.isEmpty() or out.head().score == "clash")
         out.write.parquet(str(tmp_path / name))
         at = spark.read.parquet(str(tmp_path / name))
         kept[name] = at.collect()
