@@ -200,9 +200,9 @@ def timing_lines(spark, sf_dir):
 
 @register("cues", _with(_LINES, _CUES) + "SELECT video_id, file_name, line_no, start_ts, end_ts, s AS start_s, e AS end_s FROM cu")
 def cues(spark, sf_dir):
-    start, end = timecode.timing_part("line", 1), timecode.timing_part("line", 2)
     timing = fx.vtt_lines(spark, sf_dir).filter(timecode.is_timing("line"))
-    return timing.select("video_id", "file_name", "line_no", start.alias("start_ts"), end.alias("end_ts"), timecode.seconds_lenient(start).alias("start_s"), timecode.seconds_lenient(end).alias("end_s"))
+    timing = timing.select("video_id", "file_name", "line_no", timecode.timing_part("line", 1).alias("start_ts"), timecode.timing_part("line", 2).alias("end_ts"))
+    return timing.withColumns({"start_s": timecode.seconds_lenient("start_ts"), "end_s": timecode.seconds_lenient("end_ts")})
 
 
 @register("interval_pairs", _with(_LINES, _CUES, _MAP) + "SELECT cu.video_id, cu.line_no, sm.pos FROM cu JOIN sm ON sm.video_id = cu.video_id AND sm.t BETWEEN cu.s AND cu.e")

@@ -21,7 +21,8 @@ def cues_of(lines: DataFrame, strict: bool = False) -> DataFrame:
     from ..functions.timecode import is_timing, timing_part
 
     unit = millis_strict if strict else seconds_lenient
-    return lines.filter(is_timing("line")).select("video_id", "file_name", "line_no", unit(timing_part("line", 1)).alias("start_t"), unit(timing_part("line", 2)).alias("end_t"))
+    parts = lines.filter(is_timing("line")).select("video_id", "file_name", "line_no", timing_part("line", 1).alias("start_ts"), timing_part("line", 2).alias("end_ts"))
+    return parts.select("video_id", "file_name", "line_no", unit("start_ts").alias("start_t"), unit("end_ts").alias("end_t"))
 
 
 def entries_of(scene_map: DataFrame, strict: bool = False) -> DataFrame:
