@@ -267,7 +267,8 @@ def copies(df: DataFrame, id_col: str, text_col: str, similarity: float, words:
     rest = F.struct(F.col("id").isNull().alias("none"), "id", "print", "size", "keys")
     distinct = rows.groupBy("node", "digest").agg(F.min(rest).alias("x")).select("node", "digest", "x.*")
     keyed = distinct.select("node", "digest", "id", "print", "size", F.posexplode("keys").alias("place", "key"))
-    known = keyed.join(keyed.groupBy("key").count().filter("count > 1"), "key")
+    # Settled, so that the join stands on plain shuffles and a common key's rows can be split between tasks.
+    known = keyed.join(settle(keyed.groupBy("key").count().filter("count > 1")), "key")
     order = F.array_sort(F.collect_list(F.struct((F.col("count") > MEMBERS).alias("common"), "place", "key", "count")))
     chosen = known.groupBy("node", "digest", "id", "print", "size").agg(F.slice(order, 1, USED).alias("k")).withColumn("k", F.explode("k"))
     block = F.when(F.col("k.common"), F.pmod(F.xxhash64("digest", "k.key"), F.ceil(F.col("k.count") / MEMBERS))).otherwise(0)
