@@ -29,23 +29,42 @@ KINDS = (
     ("bearer", r"Bearer\x20+([A-Za-z0-9+/_.=-]{16,})", 1, 16),
 )
 BASE = 3
+#: Matches whose lengths are summed as one.
+CHUNK = 128
+
+
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it stands in it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _spans(text: Column, place: int) -> Column:
-    """Spans of one kind, leftmost and non-overlapping: an array of (start, place, end, value)."""
+    """Spans of one kind, leftmost and non-overlapping: an array of (start, place, end, value).
+
+    Matches and the gaps between them alternate, so a match starts after all before it. These sums go by chunks: those of whole
+    chunks, then those within one, so the work stays far from quadratic in texts with very many matches.
+    """
     _, pattern, group, least = KINDS[place]
     found, whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.transform(F.split(text, pattern, -1), lambda x: F.char_length(x))
-    rows = F.arrays_zip(gaps.alias("gap"), whole.alias("whole"), found.alias("value"))
-    entry = lambda start, x: F.struct(start.alias("start"), F.lit(place).alias("place"), (start + F.char_length(x["whole"])).alias("end"), x["value"].alias("value"))
-    none = F.array().cast("array<struct<start:int,place:int,end:int,value:string>>")
+    gaps = F.transform(F.slice(F.split(text, pattern, -1), 1, F.size(whole)), lambda x: F.char_length(x))
+    rows = F.arrays_zip(gaps.alias("gap"), F.transform(whole, lambda x: F.char_length(x)).alias("n"), found.alias("value"))
+    total = lambda a: F.aggregate(a, F.lit(0), lambda acc, x: acc + x)
+    chunk = lambda i: F.floor(i / CHUNK).cast("int")
+
+    def placed(rows: Column, steps: Column, before: Column) -> Column:
+        def one(x: Column, i: Column) -> Column:
+            first = chunk(i) * CHUNK
+            start = F.get(before, chunk(i)) + total(F.slice(steps, first + 1, i - first)) + x["gap"]
+            return F.struct(start.alias("start"), F.lit(place).alias("place"), (start + x["n"]).alias("end"), x["value"].alias("value"))
 
-    def step(acc, x):
-        start = acc["end"] + x["gap"]
-        fit = F.char_length(x["value"]) >= least
-        return F.struct((start + F.coalesce(F.char_length(x["whole"]), F.lit(0))).alias("end"), F.when(fit, F.array_append(acc["out"], entry(start, x))).otherwise(acc["out"]).alias("out"))
+        return F.filter(F.transform(rows, one), lambda s: F.char_length(s["value"]) >= least)
 
-    spans = F.aggregate(rows, F.struct(F.lit(0).alias("end"), none.alias("out")), step, lambda acc: acc["out"])
+    def summed(rows: Column, steps: Column) -> Column:
+        sums = F.transform(F.sequence(F.lit(0), chunk(F.size(steps))), lambda c: total(F.slice(steps, c * CHUNK + 1, F.lit(CHUNK))))
+        return _bound(sums, lambda s: _bound(F.transform(s, lambda _, c: total(F.slice(s, F.lit(1), c))), lambda before: placed(rows, steps, before)))
+
+    spans = _bound(rows, lambda r: _bound(F.transform(r, lambda x: x["gap"] + x["n"]), lambda steps: summed(r, steps)))
+    none = F.array().cast("array<struct<start:int,place:int,end:int,value:string>>")
     return F.when(text.rlike(pattern), spans).otherwise(none)
 
 
@@ -103,7 +122,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", reposito
 
 
 def redact(df: DataFrame, text_col: str = "text", repository: Column | None = None, owner: Column | None = None, mark: str = "[secret]") -> DataFrame:
-    """The rows with the values of live spans replaced by a mark; texts without any stay as they are."""
+    """The rows with the values of live spans replaced by a mark, wherever they stand; texts without any stay as they are."""
     repository = F.col("source") if repository is None else repository
     owner = F.col("source") if owner is None else owner
     any_of = F.lit(False)
@@ -114,21 +133,11 @@ def redact(df: DataFrame, text_col: str = "text", repository: Column | None = No
     found = settle(found.withColumn("row", F.monotonically_increasing_id()))
     judged = _judged(found.filter(F.size("found") > 0), ["row"])
     rows = found.select("row", "own").join(judged, "row", "left")
+    # Longer values first, so that one within another can't leave a part of it.
+    live = F.array_distinct(F.transform(F.filter("judged", lambda s: s["live"]), lambda s: s["value"]))
+    live = F.reverse(F.array_sort(F.transform(live, lambda v: F.struct(F.char_length(v).alias("n"), v.alias("v")))))
     text = F.col("own")[text_col]
-
-    def step(acc, s):
-        begin = s["end"] - F.char_length(s["value"])  # the value ends its span
-        fresh = s["live"] & (begin >= acc["end"])
-        grown = F.concat(acc["out"], F.substring(text, acc["end"] + 1, begin - acc["end"]), F.lit(mark))
-        return F.struct(F.when(fresh, s["end"]).otherwise(acc["end"]).alias("end"), F.when(fresh, grown).otherwise(acc["out"]).alias("out"))
-
-    finish = lambda acc: F.concat(acc["out"], F.substring(text, acc["end"] + 1, F.char_length(text)))
-    by_value = F.array_sort(F.col("judged"), lambda a, b: F.signum(_begin(a) - _begin(b)).cast("int"))
-    new = F.aggregate(by_value, F.struct(F.lit(0).alias("end"), F.lit("").alias("out")), step, finish)
-    new = F.coalesce(new, text)
+    new = F.coalesce(F.aggregate(live, text, lambda acc, x: F.replace(acc, x["v"], F.lit(mark))), text)
     changed = rows.select(*(new.alias(c) if c == text_col else F.col("own")[c].alias(c) for c in df.columns))
     return df.filter(~any_of).unionByName(changed)
 
-
-def _begin(s: Column) -> Column:
-    return s["end"] - F.char_length(s["value"])

@@ -211,6 +211,13 @@ def test_secret_spans_and_ownership(spark):
     assert clean[11] == "token [secret]"
 
 
+def test_very_many_secrets(spark):
+    text = "".join(f"é token = \"{i:06d}abcdef\" x {i:024x} 😀\n" for i in range(700))
+    row = secrets.scan(spark.createDataFrame([(1, text, "en", "s")], "doc_id long, text string, lang string, source string")).head()
+    want = [(m.start(), 0, m.end()) for m in re.finditer(r'token = "([0-9a-f]+)', text)] + [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]{24,}", text)]
+    assert [(s.start, s.place, s.end) for s in row.spans] == sorted(want) and len(want) == 1400
+
+
 # ---- quality
 
 
