@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import math
 import re
+from bisect import bisect_left
 from collections import defaultdict
 
 import numpy as np
@@ -197,31 +198,41 @@ def find(text: str | None, model: Model) -> tuple[list[tuple[int, int, int]], li
     base = base_spans(text)
     if not model.weight:
         return base, []
-    taken = sorted((s, e) for _, s, e in base)
+    taken = _Spans(base)
     added = []
     for words in islands(text):
         for first, k, kind in decode(model, _candidates(text, words)):
             start, end = trimmed(text, words[first][0], words[first + k - 1][1])
-            if start < end and not any(s < end and start < e for s, e in _near(taken, start, end)):
+            if start < end and not taken.within(start, end):
                 added.append((kind, start, end))
     return base, added
 
 
-def _near(taken: list[tuple[int, int]], start: int, end: int) -> list[tuple[int, int]]:
-    from bisect import bisect_left
+class _Spans:
+    """Spans by kind, each kind's disjoint and in order, so that those in a stretch are found by bisection."""
 
-    i = bisect_left(taken, (end, 0))
-    return taken[max(0, i - 2 * len(KINDS)) : i]
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        self.of = [[(s, e) for k, s, e in spans if k == kind] for kind in range(len(KINDS))]
+
+    def within(self, start: int, end: int) -> list[tuple[int, int, int]]:
+        """(kind, start, end) of those that overlap a stretch."""
+        out = []
+        for kind, own in enumerate(self.of):
+            i = bisect_left(own, (end, 0)) - 1
+            while i >= 0 and own[i][1] > start:
+                out.append((kind, *own[i]))
+                i -= 1
+        return out
 
 
 def _examples(text: str):
     """Islands to learn from: candidate features, and the gold segments that base spans make, with and without what patterns ask for."""
-    base = base_spans(text)
+    base = _Spans(base_spans(text))
     for words in islands(text):
         if len(words) > ISLAND:
             continue
         gold = []
-        for kind, s, e in base:
+        for kind, s, e in base.within(words[0][0], words[-1][1]):
             held = [i for i, (a, b) in enumerate(words) if a < e and s < b]
             if held and len(held) <= LONGEST:
                 gold.append([held[0], len(held), kind])
