@@ -26,18 +26,19 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least id stays: those whose fingerprints are near, and those whose
-    sets of five-word shingles are similar."""
-    found = simhash.near_duplicates(docs, similarity=0.8)
-    first = found.filter(F.col("id").eqNullSafe(F.col("component_id"))).groupBy(F.col("id").alias("kept_id")).agg(F.count("*").alias("n"))
+    """Of each group of near-duplicates the row with the least id stays: those whose fingerprints are near, and those whose sets
+    of five-word shingles are similar. Rows are told apart by id and content, so that ids may be null or repeated."""
     rows, names = _numbered(docs)
-    key = names["doc_id"]
-    kept = rows.join(first, F.col(key).eqNullSafe(F.col("kept_id")))
-    # An id that occurs once needs no further choice; rows that share an id are reduced to the first by their other columns.
-    alone = kept.filter("n = 1").select(rows.columns)
-    others = [c for c in rows.columns if c != key]
-    several = kept.filter("n > 1").groupBy(key).agg(F.min(F.struct(*others)).alias("x"))
-    return alone.unionByName(several.select(key, "x.*")).toDF(*docs.columns)
+    own, key = rows.columns, F.col(names["doc_id"])
+    content = F.xxhash64(*own, *(F.col(c).isNull() for c in own))  # xxhash64 passes over nulls
+    rows = rows.withColumn("row", F.struct(key.isNull().alias("none"), key.alias("id"), content.alias("content")))
+    found = simhash.near_duplicates(rows, "row", names["text"], similarity=0.8)
+    first = found.filter(F.col("id") == F.col("component_id")).groupBy(F.col("id").alias("kept")).agg(F.count("*").alias("n"))
+    kept = rows.join(first, F.col("row").eqNullSafe(F.col("kept")))
+    # A row that occurs once needs no further choice; rows that are the same in all columns are reduced to one.
+    alone = kept.filter("n = 1").select(own)
+    several = kept.filter("n > 1").groupBy("row").agg(F.min(F.struct(*own)).alias("x"))
+    return alone.unionByName(several.select("x.*")).toDF(*docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -311,3 +311,13 @@ def test_pipeline_on_a_small_table(spark, tables, tmp_path):
     hidden = next(r for r in kept["secrets"] if r.doc_id == 2000)
     assert "[secret]" in hidden.text and hidden.n_chars == len(hidden.text) and len(kept["secrets"]) == len(kept["simhash"])
     assert len(kept["byte_bpe"]) == len(kept["mixing"]) > len(kept["secrets"])
+
+
+def test_distinct_keeps_rows_with_null_or_repeated_ids(spark):
+    rng = random.Random(11)
+    texts = [prose(rng, 60) for _ in range(6)]
+    rows = [(None, texts[0], "en", "a", 1), (None, texts[1], "en", "a", 1), (None, texts[2], "en", "a", 1), (5, texts[3], "en", "a", 1), (5, texts[4], "en", "a", 1)]
+    rows += [(6, texts[5], "en", "a", 1), (6, texts[5], "en", "a", 1), (7, texts[3], "en", "a", 1), (5, None, "en", "a", 1), (None, texts[4], None, "a", 1)]
+    out = corpus_pipeline.distinct(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
+    got = sorted(((r.doc_id, r.text) for r in out), key=str)
+    assert got == sorted([(None, texts[0]), (None, texts[1]), (None, texts[2]), (5, texts[3]), (5, texts[4]), (6, texts[5]), (5, None)], key=str)
