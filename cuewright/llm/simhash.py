@@ -213,43 +213,49 @@ def _signed(values) -> list[int]:
     return [int(v) - (1 << 64) if int(v) >> 63 else int(v) for v in values]
 
 
-def similar_links(members: list[tuple[int, int, np.ndarray]], similarity: float, radius: int = NEAR) -> list[tuple[int, int]]:
+def _near(prints: np.ndarray, sizes: np.ndarray, i: int, similarity: float, radius: int) -> np.ndarray:
+    """Places before i whose prints are within the radius and whose sizes allow the similarity."""
+    a, b = sizes[:i], sizes[i]
+    return np.flatnonzero((np.bitwise_count(prints[:i] ^ prints[i]) <= radius) & (np.minimum(a, b) >= similarity * np.maximum(a, b)))
+
+
+def similar_links(members: list[tuple[int, int, np.ndarray]], similarity: float, radius: int = NEAR, groups: list[int] | None = None) -> list[tuple[int, int]]:
     """Links between nodes of members (node, fingerprint, shingles) whose Jaccard similarity is at least ``similarity``.
 
-    The BK-tree gives those whose fingerprints are near; they are compared exactly unless they are connected already.
+    Those whose fingerprints are near are compared exactly unless they are connected already, or of one of the ``groups``.
     """
-    tree, parent, at, out = BKTree(), list(range(len(members))), {}, []
+    first: dict = {}
+    parent, out = [first.setdefault(g, i) for i, g in enumerate(groups)] if groups else list(range(len(members))), []
 
     def root(x):
         while parent[x] != x:
             parent[x] = x = parent[parent[x]]
         return x
 
-    for i, (node, print_, own) in enumerate(members):
-        for near in tree.within(print_, radius):
-            for j in at[near]:
-                a, b = root(i), root(j)
-                other = members[j][2]
-                if a == b or min(len(own), len(other)) < similarity * max(len(own), len(other)):
-                    continue
-                both = len(np.intersect1d(own, other, assume_unique=True))
-                if both >= similarity * (len(own) + len(other) - both):
-                    parent[max(a, b)] = min(a, b)
-                    if node != members[j][0]:
-                        out.append((node, members[j][0]))
-        if print_ not in at:
-            tree.add(print_)
-        at.setdefault(print_, []).append(i)
+    prints, sizes = np.array([m[1] for m in members], dtype=np.uint64), np.array([len(m[2]) for m in members], dtype=np.int64)
+    for i, (node, _, own) in enumerate(members):
+        for j in _near(prints, sizes, i, similarity, radius).tolist():
+            a, b = root(i), root(j)
+            if a == b:
+                continue
+            other = members[j][2]
+            both = len(np.intersect1d(own, other, assume_unique=True))
+            if both >= similarity * (len(own) + len(other) - both):
+                parent[max(a, b)] = min(a, b)
+                if node != members[j][0]:
+                    out.append((node, members[j][0]))
     return out
 
 
-def copies(df: DataFrame, id_col: str, text_col: str, similarity: float, words: int = WORDS) -> DataFrame:
+def copies(df: DataFrame, id_col: str, text_col: str, similarity: float, words: int = WORDS, known_links: DataFrame | None = None) -> DataFrame:
     """Links (a, b) between the ``fingerprint`` of documents whose sets of word shingles are similar.
 
     Similar sets share their least shingles almost surely (a similarity of 0.8 misses all of four with a chance of 0.002), so
-    documents meet in shards keyed by the least of their shingles that aren't common. Documents that have only common ones meet
-    in random blocks of those shards; as each is in several, dense groups stay connected. A shard's BK-tree of fingerprints of
-    the shingles finds who has a neighbour; only the texts of those are read again, and their sets compared.
+    documents meet in shards keyed by the least of their shingles that aren't common. Documents that have too few of those meet
+    in shards of common ones, too: first in random blocks, which connects dense groups (and what ``known_links`` connect is
+    connected already), then all members that aren't connected yet, each two blocks of a shard together, so no pair of it is
+    left out. A pair is compared under one key only. Fingerprints of the shingles tell who has a neighbour; only the texts of those are read again, and their sets
+    compared.
     """
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     longs = T.ArrayType(T.LongType())
@@ -270,23 +276,45 @@ def copies(df: DataFrame, id_col: str, text_col: str, similarity: float, words:
     # Settled, so that the join stands on plain shuffles and a common key's rows can be split between tasks.
     known = keyed.join(settle(keyed.groupBy("key").count().filter("count > 1")), "key")
     order = F.array_sort(F.collect_list(F.struct((F.col("count") > MEMBERS).alias("common"), "place", "key", "count")))
-    chosen = known.groupBy("node", "digest", "id", "print", "size").agg(F.slice(order, 1, USED).alias("k")).withColumn("k", F.explode("k"))
-    block = F.when(F.col("k.common"), F.pmod(F.xxhash64("digest", "k.key"), F.ceil(F.col("k.count") / MEMBERS))).otherwise(0)
-    member = F.struct("node", "digest", "id", "print", "size")
-    shards = chosen.groupBy("k.key", block.alias("block")).agg(F.collect_list(member).alias("members")).filter(F.size("members") > 1)
-    kind = df.schema[id_col].dataType.simpleString()
+    chosen = known.groupBy("node", "digest", "id", "print", "size").agg(F.slice(order, 1, USED).alias("all")).withColumn("k", F.explode("all"))
+    # Of two documents' shared keys only the least needs to compare them; in random blocks they surely meet under none.
+    whole = F.filter("all", lambda x: ~x["common"] & (F.col("k.common") | (x["key"] < F.col("k.key"))))
+    less = F.filter("all", lambda x: x["common"] & F.col("k.common") & (x["key"] < F.col("k.key")))
+    keys = lambda some: F.transform(some, lambda x: x["key"])
+    chosen = settle(chosen.select("node", "digest", "id", "print", "size", "k.key", "k.common", "k.count", keys(whole).alias("done"), keys(less).alias("later")))
+    block = F.when(F.col("common"), F.pmod(F.xxhash64("digest", "key"), F.ceil(F.col("count") / MEMBERS))).otherwise(0)
+    found = _compared(docs, chosen.withColumns({"block": block, "root": F.col("node")}), similarity, words)
+    common = chosen.filter("common").withColumn("done", F.concat("done", "later")).drop("count", "later")
+    if common.isEmpty():
+        return found
+    roots = components(found if known_links is None else found.unionByName(known_links))
+    common = settle(common.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    crowds = common.groupBy("key").agg(F.when(F.count("*") > MEMBERS, F.ceil(F.count("*") * 2 / MEMBERS)).otherwise(1).alias("n"), (F.min("root") < F.max("root")).alias("apart")).filter("apart").drop("apart")
+    placed = common.join(settle(crowds), "key").withColumn("own", F.pmod(F.xxhash64("digest", "key"), "n"))
+    others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda x: (x != F.col("own")) | (F.col("n") == 1))
+    paired = placed.withColumn("other", F.explode(others)).withColumn("block", F.least("own", "other") * F.col("n") + F.greatest("own", "other"))
+    return settle(found.unionByName(_compared(docs, paired, similarity, words)).distinct())
+
+
+def _compared(docs: DataFrame, members: DataFrame, similarity: float, words: int) -> DataFrame:
+    """Links between members (node, digest, id, print, size, root, done, key, block) of a block of a key, but not between those of
+    one root or those that share a key of ``done``."""
+    longs = T.ArrayType(T.LongType())
+    member = F.struct("node", "digest", "id", "print", "size", "root", "done")
+    shards = members.groupBy("key", "block").agg(F.collect_list(member).alias("members")).filter(F.size("members") > 1)
+    kind = docs.schema["id"].dataType.simpleString()
 
     def near(batches):
         for batch in (whole.slice(at, 64) for whole in batches for at in range(0, whole.num_rows, 64)):
             out = []
             for key, blocked, members in zip(*(batch.column(c).to_pylist() for c in ("key", "block", "members")), strict=True):
-                out += [(m["id"], key, blocked, m["node"], m["digest"]) for m in _with_neighbours(members, similarity)]
-            columns = list(zip(*out, strict=True)) if out else [[]] * 5
-            types = [batch.schema.field("members").type.value_type.field("id").type, *[pa.int64()] * 4]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), type=t) for c, t in zip(columns, types, strict=True)], names=["of", "key", "block", "node", "digest"])
+                out += [(m["id"], key, blocked, m["node"], m["digest"], m["root"]) for m in _with_neighbours(members, similarity)]
+            columns = list(zip(*out, strict=True)) if out else [[]] * 6
+            types = [batch.schema.field("members").type.value_type.field("id").type, *[pa.int64()] * 5]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), type=t) for c, t in zip(columns, types, strict=True)], names=["of", "key", "block", "node", "digest", "root"])
 
-    found = shards.mapInArrow(near, f"of {kind}, key long, block long, node long, digest long")
-    wanted = settle(found.groupBy("of").agg(F.collect_set(F.struct("key", "block", "node", "digest")).alias("shards")))
+    found = shards.mapInArrow(near, f"of {kind}, key long, block long, node long, digest long, root long")
+    wanted = settle(found.groupBy("of").agg(F.collect_set(F.struct("key", "block", "node", "digest", "root")).alias("shards")))
     if wanted.count() <= SENT:
         wanted = F.broadcast(wanted)
 
@@ -300,32 +328,30 @@ def copies(df: DataFrame, id_col: str, text_col: str, similarity: float, words:
     texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("of")))
     full = append_columns(texts, ["text"], ["shards"], [("own", T.LongType()), ("print", T.LongType()), ("set", longs)], sets)
     each = full.select("own", "print", "set", F.explode("shards").alias("s")).filter("own = s.digest")
-    groups = each.groupBy("s.key", "s.block").agg(F.collect_list(F.struct("s.node", "print", "set")).alias("members")).filter(F.size("members") > 1).select("members")
+    groups = each.groupBy("s.key", "s.block").agg(F.collect_list(F.struct("s.node", "print", "set", "s.root")).alias("members")).filter(F.size("members") > 1).select("members")
 
     def search(batches):
         for batch in (whole.slice(at, 1) for whole in batches for at in range(whole.num_rows)):
             members = batch.column("members").flatten()
-            nodes, prints, held = (members.field(k) for k in ("node", "print", "set"))
+            nodes, prints, held, roots = (members.field(k) for k in ("node", "print", "set", "root"))
             rows = [(n, p & (1 << 64) - 1, np.asarray(own.values).view(np.uint64)) for n, p, own in zip(nodes.to_pylist(), prints.to_pylist(), held, strict=True)]
-            a = np.array(similar_links(rows, similarity), dtype=np.int64).reshape(-1, 2)
+            a = np.array(similar_links(rows, similarity, groups=roots.to_pylist()), dtype=np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], names=["a", "b"])
 
     return settle(groups.mapInArrow(search, "a long, b long").distinct())
 
 
 def _with_neighbours(members: list[dict], similarity: float, radius: int = NEAR) -> list[dict]:
-    """Members of a shard that have another of like size within the radius."""
-    tree, at, hit = BKTree(), {}, set()
-    for i, m in enumerate(members):
-        print_ = m["print"] & (1 << 64) - 1
-        for near in tree.within(print_, radius):
-            for j in at[near]:
-                if min(m["size"], members[j]["size"]) >= similarity * max(m["size"], members[j]["size"]):
-                    hit |= {i, j}
-        if print_ not in at:
-            tree.add(print_)
-        at.setdefault(print_, []).append(i)
-    return [members[i] for i in sorted(hit)]
+    """Members of a shard that have another of like size, but another root and no key of ``done`` in common, within the radius."""
+    prints = np.array([m["print"] & (1 << 64) - 1 for m in members], dtype=np.uint64)
+    sizes, roots = (np.array([m[k] for m in members], dtype=np.int64) for k in ("size", "root"))
+    hit, done = np.zeros(len(members), dtype=bool), [frozenset(m["done"]) for m in members]
+    for i in range(1, len(members)):
+        near = _near(prints, sizes, i, similarity, radius)
+        near = [j for j in near[roots[near] != roots[i]].tolist() if done[i].isdisjoint(done[j])]
+        hit[near] = True
+        hit[i] |= len(near) > 0
+    return [members[i] for i in np.flatnonzero(hit)]
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = RADIUS, most: int = SHARD, similarity: float | None = None) -> DataFrame:
@@ -337,7 +363,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     distinct = settle(docs.groupBy("fingerprint").agg(F.min("id").alias("least")))
     edges = links(distinct, radius, most)
     if similarity is not None:
-        edges = edges.unionByName(copies(df, id_col, text_col, similarity)).distinct()
+        edges = edges.unionByName(copies(df, id_col, text_col, similarity, known_links=edges)).distinct()
     roots = components(edges)
     joined = distinct.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
     groups = joined.groupBy("root").agg(F.min("least").alias("component_id"), (F.count("*") - 1).alias("n_links"))

@@ -321,3 +321,20 @@ def test_distinct_keeps_rows_with_null_or_repeated_ids(spark):
     out = corpus_pipeline.distinct(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
     got = sorted(((r.doc_id, r.text) for r in out), key=str)
     assert got == sorted([(None, texts[0]), (None, texts[1]), (None, texts[2]), (5, texts[3]), (5, texts[4]), (6, texts[5]), (5, None)], key=str)
+
+
+def test_lone_pairs_among_many_that_share_a_passage(spark, monkeypatch):
+    """All shingles that a text is keyed by come from the passage; pairs meet in each of 60 blocks."""
+    monkeypatch.setattr(simhash, "MEMBERS", 4)
+    rng = random.Random(21)
+    passage, texts = prose(rng, 300), []
+    for i in range(120):
+        tail = [f"own{i}x{k}" for k in range(62)]
+        texts.append(f"{passage} {' '.join(tail)}")
+        texts.append(f"{passage} {' '.join([*tail[:30], 'odd', *tail[31:]])}")
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.id: r.component_id for r in simhash.near_duplicates(rows, similarity=0.8).collect()}
+    sets = [set(simhash.shingle_set(t).tolist()) for t in texts]
+    alike = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    assert not alike(0, 2) and all(alike(i, i + 1) for i in range(0, 240, 2))
+    assert all(got[i] == got[i + 1] for i in range(0, 240, 2))
