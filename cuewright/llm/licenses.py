@@ -2,7 +2,7 @@
 
 Lines that speak of licensing and whole licence files (by name) are compared with templates: term weights are TF-IDF over the
 templates, and term lists are joined to the templates' postings, so only shared terms meet. The best template at or above the
-threshold is a file's own licence. A directory's licence is that of its licence file, else nothing. A file without its own takes
+threshold is a file's own licence, if the line's or paragraph's distinguishing terms (version, Affero, ND, clauses) agree. A directory's licence is that of its licence file, else nothing. A file without its own takes
 that of the nearest ancestor directory, found by joining the distinct directories' ancestors to the licensed ones.
 
 Null texts and paths count as empty (no licence; the root directory); of several licence files in one directory the first by path
@@ -47,8 +47,76 @@ TEMPLATES = (
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    # Titles and openings of licence files.
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met."),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International Public License"),
+    ("CC-BY-NC-ND-4.0", "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International Public License"),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International Public License"),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-ND-4.0", "Creative Commons Attribution-NoDerivatives 4.0 International Public License"),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International Public License"),
+    ("CC0-1.0", "CC0 1.0 Universal"),
+    ("EPL-2.0", "Eclipse Public License - v 2.0"),
+    ("EPL-2.0", "Licensed under the Eclipse Public License, Version 2.0."),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
 )
 
+_V = r"(?:version|v|gpl)[\s.-]*"
+_NC, _ND, _SA = r"\bnc\b|noncommercial", r"\bnd\b|noderiv", r"\bsa\b|sharealike"
+_BY = r"\bcc[\s-]by\b|creative commons attribution"
+#: What a segment has to say, all of it, and what it mustn't say, to have a licence, in lower case.
+AGREES = {
+    "AGPL-3.0": ([r"affero|\bagpl", _V + r"3\b"], []),
+    "Apache-2.0": ([r"\bapache\b", r"\b2(?:\.0)?\b"], []),
+    "BSD-2-Clause": ([r"\b2[\s-]clause|redistribution and use"], []),
+    "BSD-3-Clause": ([r"\b3[\s-]clause|redistribution and use"], []),
+    "CC-BY-4.0": ([_BY, r"\b4\.0\b"], [_NC, _ND, _SA]),
+    "CC-BY-NC-4.0": ([_BY, r"\b4\.0\b", _NC], [_ND, _SA]),
+    "CC-BY-NC-ND-4.0": ([_BY, r"\b4\.0\b", _NC, _ND], [_SA]),
+    "CC-BY-NC-SA-4.0": ([_BY, r"\b4\.0\b", _NC, _SA], [_ND]),
+    "CC-BY-ND-4.0": ([_BY, r"\b4\.0\b", _ND], [_NC, _SA]),
+    "CC-BY-SA-4.0": ([_BY, r"\b4\.0\b", _SA], [_NC, _ND]),
+    "CC0-1.0": ([r"\bcc0\b"], []),
+    "EPL-2.0": ([r"eclipse|\bepl", r"\b2\.0\b"], []),
+    "GPL-2.0": ([r"general public|\bgpl", _V + r"2(?:\.0)?\b(?!\.)"], [r"affero|lesser|library"]),
+    "GPL-3.0": ([r"general public|\bgpl", _V + r"3\b"], [r"affero|lesser|library"]),
+    "ISC": ([r"\bisc\b|permission to use, copy"], []),
+    "LGPL-2.1": ([r"lesser|\blgpl", _V + r"2\.1\b"], []),
+    "LGPL-3.0": ([r"lesser|\blgpl", _V + r"3\b"], []),
+    "MIT": ([r"\bmit\b|permission is hereby granted"], []),
+    "MPL-2.0": ([r"mozilla|\bmpl", r"\b2\.0\b"], []),
+    "Unlicense": ([r"unencumbered|unlicense"], []),
+}
+#: The sentence that BSD licences share; the clauses of the whole text tell which it is.
+SHARED = r"redistribution and use in source and binary"
+CLAUSES = {"BSD-2-Clause": 2, "BSD-3-Clause": 3}
+
+
+def agreeing(low: Column, clauses: Column) -> Column:
+    """The licences that a lower-case segment's distinguishing terms, or for BSD its text's clauses, allow; other names aren't held against it."""
+    out = []
+    for name, (needs, bars) in AGREES.items():
+        fits = F.lit(True)
+        for need in needs:
+            fits &= low.rlike(need)
+        for bar in bars:
+            fits &= ~low.rlike(bar)
+        if name in CLAUSES:
+            fits &= ~low.rlike(SHARED) | (clauses == CLAUSES[name])
+        out.append(F.when(fits, name))
+    return F.array_compact(F.array(*out))
+
 
 def terms(text: str) -> list[str]:
     return re.findall(TERM, text.lower())
@@ -67,16 +135,20 @@ def weights(templates=TEMPLATES) -> tuple[list[tuple[str, float]], list[tuple[st
 
 
 def own_licences(spark: SparkSession, segments: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES) -> DataFrame:
-    """Of segments (row, at, segment): row, license, cosine of the best template at or above the threshold."""
+    """Of segments (row, at, segment, perhaps clauses): row, license, cosine of the best template at or above the threshold, of
+    those that the segment's distinguishing terms agree with."""
+    clauses = F.col("clauses") if "clauses" in segments.columns else F.lit(0)
     idf, postings, unknown = weights(templates)
     # Both tables are made from the fixed templates, a few hundred rows.
     idf = F.broadcast(spark.createDataFrame(idf, "term string, idf double"))
     postings = F.broadcast(spark.createDataFrame(postings, "term string, template int, license string, weight double"))
-    bags = segments.select("row", "at", F.explode(F.regexp_extract_all(F.lower("segment"), F.lit(TERM), F.lit(0))).alias("term")).groupBy("row", "at", "term").count()
+    segments = segments.withColumn("low", F.regexp_replace(F.lower("segment"), r"\s+", " "))
+    segments = segments.select("row", "at", "segment", agreeing(F.col("low"), clauses).alias("may"))
+    bags = segments.select("row", "at", "may", F.explode(F.regexp_extract_all(F.lower("segment"), F.lit(TERM), F.lit(0))).alias("term")).groupBy("row", "at", "may", "term").count()
     weighted = bags.join(idf, "term", "left").withColumn("w", F.col("count") * F.coalesce("idf", F.lit(unknown)))
-    per_template = weighted.join(postings, "term", "left").groupBy("row", "at", "template", "license").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
+    per_template = weighted.join(postings, "term", "left").groupBy("row", "at", "may", "template", "license").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
     norms = weighted.groupBy("row", "at").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    cosine = per_template.filter("template IS NOT NULL").join(norms, ["row", "at"]).withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 9))
+    cosine = per_template.filter("template IS NOT NULL").filter(F.array_contains("may", F.col("license")) | ~F.col("license").isin(list(AGREES))).join(norms, ["row", "at"]).withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 9))
     best = F.max(F.struct("cosine", (-F.col("template")).alias("order"), "license"))
     return cosine.filter(F.col("cosine") >= threshold).groupBy("row").agg(best.alias("x")).select("row", "x.license", "x.cosine")
 
@@ -96,15 +168,21 @@ def scan(df: DataFrame, path: Column, id_col: str = "doc_id", text_col: str = "t
     docs = df.select(F.col(id_col).alias("id"), path.alias("path"), text.alias("text"))
     licence_file = F.rlike(name, F.lit(LICENCE_FILE))
     lines = F.when(F.col("text").rlike(SPEAKS), F.filter(F.split("text", "\n"), lambda line: line.rlike(SPEAKS)))
-    segments = F.concat(F.coalesce(lines, F.array().cast("array<string>")), F.when(licence_file & F.col("text").rlike(SPEAKS), F.array("text")).otherwise(F.array().cast("array<string>")))
+    # Of licence files the paragraphs, too: titles and versions, and clauses, go over several lines.
+    paragraphs = F.filter(F.split("text", r"\n\s*\n"), lambda part: part.rlike(SPEAKS))
+    low = F.regexp_replace(F.lower("text"), r"\s+", " ")
+    clauses = F.when(low.rlike("neither the name|names? of (?:its|the) contributors"), 3).when(low.rlike("redistributions in binary form must"), 2).otherwise(0)
+    # Few texts hold the word; the others are spared the patterns.
+    clauses = F.when((F.col("text").contains("edistribution") | F.col("text").contains("EDISTRIBUTION")), F.when(low.rlike(SHARED), clauses).otherwise(0)).otherwise(0)
+    segments = F.concat(F.coalesce(lines, F.array().cast("array<string>")), F.when(licence_file & F.col("text").rlike(SPEAKS), F.concat(F.array("text"), paragraphs)).otherwise(F.array().cast("array<string>")))
     folder = F.array_join(F.filter(F.slice(F.split("path", "/"), 1, F.size(F.split("path", "/")) - 1), lambda p: p != ""), "/")
-    rows = settle(docs.select("id", "path", folder.alias("folder"), licence_file.alias("is_licence"), segments.alias("segments")).withColumn("row", F.monotonically_increasing_id()))
+    rows = settle(docs.select("id", "path", folder.alias("folder"), licence_file.alias("is_licence"), segments.alias("segments"), clauses.alias("clauses")).withColumn("row", F.monotonically_increasing_id()))
     some = rows.filter(F.size("segments") > 0)
-    own = settle(own_licences(spark, some.select("row", F.posexplode("segments").alias("at", "segment")), threshold, templates))
+    own = settle(own_licences(spark, some.select("row", "clauses", F.posexplode("segments").alias("at", "segment")), threshold, templates))
     licensed = rows.filter("is_licence").join(own, "row").groupBy("folder").agg(F.min(F.struct("path", "license")).alias("x")).select(F.col("folder").alias("up"), F.col("x.license").alias("up_license"))
     folders = rows.select("folder").distinct().select("folder", F.explode(ancestors(F.col("folder"))).alias("a"))
     nearest = folders.join(licensed, F.col("a.path") == F.col("up")).groupBy("folder").agg(F.max_by(F.struct("up", "up_license"), "a.depth").alias("near"))
-    out = rows.drop("segments").join(own, "row", "left").join(settle(nearest), "folder", "left")
+    out = rows.drop("segments", "clauses").join(own, "row", "left").join(settle(nearest), "folder", "left")
     return out.select(
         "id",
         "path",

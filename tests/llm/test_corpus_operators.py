@@ -338,3 +338,24 @@ def test_lone_pairs_among_many_that_share_a_passage(spark, monkeypatch):
     alike = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
     assert not alike(0, 2) and all(alike(i, i + 1) for i in range(0, 240, 2))
     assert all(got[i] == got[i + 1] for i in range(0, 240, 2))
+
+
+def test_licence_files_by_distinguishing_terms(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the notice.\n\n2. Redistributions in binary form must reproduce the notice.\n"
+    isc = "Copyright (c) 2020 A\n\nPermission to use, copy, modify, and/or distribute this software for any purpose\nwith or without fee is hereby granted, provided that the above copyright notice\nand this permission notice appear in all copies.\n"
+    title = "                    GNU {}GENERAL PUBLIC LICENSE\n                       Version {}\n\n Copyright (C) Free Software Foundation, Inc.\n\nThe rest.\n"
+    want = {
+        "GPL-2.0": title.format("", "2, June 1991"),
+        "GPL-3.0": title.format("", "3, 29 June 2007"),
+        "AGPL-3.0": title.format("AFFERO ", "3, 19 November 2007"),
+        "LGPL-2.1": title.format("LESSER ", "2.1, February 1999"),
+        "BSD-2-Clause": bsd,
+        "BSD-3-Clause": bsd + "\n3. Neither the name of the copyright holder nor the names of its contributors may be used.\n",
+        "ISC": isc,
+        "EPL-2.0": "Licensed under the Eclipse Public License, Version 2.0.",
+        "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
+        None: "GNU GENERAL PUBLIC LICENSE",
+    }
+    rows = [(i, f"d{i}/LICENSE", text) for i, text in enumerate(want.values())]
+    got = {r.id: r.license for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, path string, text string"), F.col("path")).collect()}
+    assert got == dict(enumerate(want))
