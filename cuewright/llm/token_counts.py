@@ -1,6 +1,7 @@
 """Token counts with a digest cache.
 
-A text's key is the digest of its normalised content and that of the tokenizer's version. Keys are joined to stored counts; the
+A text's key is the digest of its raw content (null as empty) and that of the tokenizer's version; texts that only the
+tokenizer's normaliser makes equal are encoded each. Keys are joined to stored counts; the
 distinct texts that have none are encoded, once each, and their counts are appended to the cache, a Parquet folder. A later call
 with the same cache encodes new texts only. A lost executor recomputes its part; counts are appended in one committed write.
 
