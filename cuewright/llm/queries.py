@@ -104,7 +104,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(read(spark, sf_dir, "documents"))
-    return out.select(F.col("id").alias("doc_id"), simhash.as_hex("fingerprint").alias("fingerprint"), "component_id", "n_links")
+    return out.select(F.col("id").alias("doc_id"), simhash.as_hex("fingerprint").alias("fingerprint"), "component_id", "n_others")
 
 
 QUERIES = {"pipeline": pipeline, "op1_quality": op1_quality, "op2_byte_bpe": op2_byte_bpe, "op3_token_counts": op3_token_counts, "op4_pii": op4_pii, "op5_licenses": op5_licenses, "op6_tiff": op6_tiff, "op7_toxicity": op7_toxicity, "op8_secrets": op8_secrets, "op9_mixing": op9_mixing, "op10_simhash": op10_simhash}

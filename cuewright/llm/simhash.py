@@ -16,12 +16,15 @@ component's id, unless all its ids are null; an empty table gives an empty resul
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import append_columns, settle
 
@@ -33,11 +36,15 @@ SHARD = 4_000
 LEVELS = 4
 #: Shingles hashed at once.
 SLICE = 50_000
-#: Words of the shingles that similarity is measured on, and the radius within which fingerprints of those are compared exactly.
-WORDS, NEAR = 5, 20
-#: Least shingles kept of a text as keys to shards, those used, and members up to which a key's shard is searched as a whole.
-KEYS, USED, MEMBERS = 10, 4, 300
-#: Documents whose texts are fetched by a table that is sent to every task; more of them are fetched by a shuffle.
+#: Words of the shingles that similarity is measured on.
+WORDS = 5
+#: Least shingles that a text is keyed by, and those of them that the first round uses, whose large shards it searches in blocks.
+KEYS, USED, MEMBERS = 16, 4, 300
+#: Documents of several components from which a shingle is common, and the share of common ones from which a text is keyed by its whole prefix.
+COMMON, SHARE = 500, 0.4
+#: Bits of the widest bitmap of a set.
+WIDEST = 8_192
+#: Rows (a document's place in a shard, a shingle) up to which a table is sent to every task; larger ones are joined by a shuffle.
 SENT = 50_000
 
 
@@ -199,173 +206,274 @@ def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
     return np.unique(np.fromiter((digest(join(found[i : i + words]), SEED) for i in range(max(1, len(found) - words + 1))), dtype=np.uint64))
 
 
-def _majority(hashes: np.ndarray) -> int:
-    if not len(hashes):
-        return 0
-    ones = np.zeros(BITS, dtype=np.int64)
-    for at in range(0, len(hashes), SLICE):
-        part = hashes[at : at + SLICE].astype("<u8")
-        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+def bitmap(hashes: np.ndarray) -> bytes:
+    """Each shingle flips one of about two bits a shingle, so two sets differ in at least as many shingles as their bitmaps in bits."""
+    width = min(WIDEST, max(BITS, 1 << (2 * len(hashes) - 1).bit_length() if len(hashes) else BITS))
+    flips = np.bincount((hashes & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
 
 
-def _signed(values) -> list[int]:
-    return [int(v) - (1 << 64) if int(v) >> 63 else int(v) for v in values]
+def prefix(size: int, similarity: float) -> int:
+    """Shingles by any one order of which two similar sets have one in common among the first: those that a similar set may lack, and one."""
+    return size - math.ceil(similarity * size - 1e-9) + 1 if size else 0
 
 
-def _near(prints: np.ndarray, sizes: np.ndarray, i: int, similarity: float, radius: int) -> np.ndarray:
-    """Places before i whose prints are within the radius and whose sizes allow the similarity."""
-    a, b = sizes[:i], sizes[i]
-    return np.flatnonzero((np.bitwise_count(prints[:i] ^ prints[i]) <= radius) & (np.minimum(a, b) >= similarity * np.maximum(a, b)))
-
+def _signed(values) -> list[int]:
+    return [int(v) - (1 << 64) if int(v) >> 63 else int(v) for v in values]
 
-def similar_links(members: list[tuple[int, int, np.ndarray]], similarity: float, radius: int = NEAR, groups: list[int] | None = None) -> list[tuple[int, int]]:
-    """Links between nodes of members (node, fingerprint, shingles) whose Jaccard similarity is at least ``similarity``.
 
-    Those whose fingerprints are near are compared exactly unless they are connected already, or of one of the ``groups``.
-    """
+def near_pairs(maps: list[bytes], sizes: list[int], roots: list[int], similarity: float):
+    """(place, places) of pairs of different roots whose sizes and bitmaps allow the similarity; each pair once, none that is similar left out."""
+    order = sorted(range(len(maps)), key=sizes.__getitem__)
+    size, root = np.array([sizes[i] for i in order], dtype=np.int64), np.array([roots[i] for i in order], dtype=np.int64)
+    wide = np.array([len(maps[i]) // 8 for i in order], dtype=np.int64)  # grows with the size
+    begin = np.searchsorted(size, np.ceil(similarity * size - 1e-9), side="left")
+    slack = (1 - similarity) / (1 + similarity)
+    table = {w: np.frombuffer(b"".join(maps[order[k]] for k in np.flatnonzero(wide == w)), dtype=np.uint64).reshape(-1, w) for w in set(wide.tolist())}
+    first = {w: int(np.searchsorted(wide, w)) for w in table}
+    for i in range(1, len(order)):
+        if (root[begin[i] : i] == root[i]).all():
+            continue
+        own = np.frombuffer(maps[order[i]], dtype=np.uint64)
+        for w in set(wide[begin[i] : i].tolist()):
+            a, b = max(int(begin[i]), first[w]), min(i, first[w] + len(table[w]))
+            folded = np.bitwise_xor.reduce(own.reshape(-1, w), axis=0)
+            apart = np.bitwise_count(table[w][a - first[w] : b - first[w]] ^ folded).sum(axis=1, dtype=np.int64)
+            fit = a + np.flatnonzero((apart <= slack * (size[a:b] + size[i]) + 1e-9) & (root[a:b] != root[i]))
+            if len(fit):
+                yield order[i], [order[j] for j in fit.tolist()]
+
+
+def similar_links(members: list[tuple[int, int, np.ndarray]], similarity: float) -> list[tuple[int, int]]:
+    """Links between the nodes of members (node, root, shingles) of different roots that connect all whose Jaccard similarity is at least ``similarity``."""
     first: dict = {}
-    parent, out = [first.setdefault(g, i) for i, g in enumerate(groups)] if groups else list(range(len(members))), []
+    parent, out = [first.setdefault(m[1], i) for i, m in enumerate(members)], []
 
     def root(x):
         while parent[x] != x:
             parent[x] = x = parent[parent[x]]
         return x
 
-    prints, sizes = np.array([m[1] for m in members], dtype=np.uint64), np.array([len(m[2]) for m in members], dtype=np.int64)
-    for i, (node, _, own) in enumerate(members):
-        for j in _near(prints, sizes, i, similarity, radius).tolist():
+    for i, near in near_pairs([bitmap(m[2]) for m in members], [len(m[2]) for m in members], [m[1] for m in members], similarity):
+        own = members[i][2]
+        for j in near:
             a, b = root(i), root(j)
             if a == b:
                 continue
             other = members[j][2]
             both = len(np.intersect1d(own, other, assume_unique=True))
-            if both >= similarity * (len(own) + len(other) - both):
+            if both >= similarity * (len(own) + len(other) - both) - 1e-9:
                 parent[max(a, b)] = min(a, b)
-                if node != members[j][0]:
-                    out.append((node, members[j][0]))
+                if members[i][0] != members[j][0]:
+                    out.append((members[i][0], members[j][0]))
     return out
 
 
-def copies(df: DataFrame, id_col: str, text_col: str, similarity: float, words: int = WORDS, known_links: DataFrame | None = None) -> DataFrame:
-    """Links (a, b) between the ``fingerprint`` of documents whose sets of word shingles are similar.
+def sketches(df: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float, words: int = WORDS, keys: int | None = KEYS) -> DataFrame:
+    """id, fingerprint, and of the set of word shingles: digest, size, bitmap, and the least hashes, ``keys`` or the whole prefix."""
+
+    def make():
+        def run(texts):
+            own = [shingle_set(t, words) for t in texts]
+            kept = [min(n, keys or n) for n in (prefix(len(m), similarity) for m in own)]
+            return [
+                _signed(fingerprint(t, shingle) for t in texts),
+                _signed(xxhash.xxh64_intdigest(m.tobytes(), SEED) for m in own),
+                [len(m) for m in own],
+                [bitmap(m) for m in own],
+                [m[:n].view(np.int64) for m, n in zip(own, kept, strict=True)],
+            ]
+
+        return run
 
-    Similar sets share their least shingles almost surely (a similarity of 0.8 misses all of four with a chance of 0.002), so
-    documents meet in shards keyed by the least of their shingles that aren't common. Documents that have too few of those meet
-    in shards of common ones, too: first in random blocks, which connects dense groups (and what ``known_links`` connect is
-    connected already), then all members that aren't connected yet, each two blocks of a shard together, so no pair of it is
-    left out. A pair is compared under one key only. Fingerprints of the shingles tell who has a neighbour; only the texts of those are read again, and their sets
-    compared.
-    """
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    longs = T.ArrayType(T.LongType())
+    fields = [("fingerprint", T.LongType()), ("digest", T.LongType()), ("size", T.LongType()), ("map", T.BinaryType()), ("keys", T.ArrayType(T.LongType()))]
+    return append_columns(docs, ["text"], ["id"], fields, make)
+
 
-    def sketch():
+def similar(docs: DataFrame, rows: DataFrame, similarity: float, known_links: DataFrame, words: int = WORDS, keys: int | None = KEYS) -> DataFrame:
+    """Links (a, b) between fingerprints of documents (id, text; ``rows``: their sketches) whose sets of word shingles are similar.
+
+    By any one order of the shingles, two similar sets have one in common among the first few (``prefix``). A first round deals the
+    distinct sets by their four least hashes and connects most of what is similar. A second one looks at what is left: shingles of
+    documents that aren't connected yet, where those that many of these have stand last in the order, so that documents which share
+    passages don't meet for that. A text whose shingles are mostly common ones is keyed by its whole prefix, any other by ``keys`` of
+    it: two sets of similarity 0.8 or more share none of 16 with a chance below 10^-9. ``keys=None`` takes whole prefixes, which
+    leaves nothing to chance. Shards of common shingles are compared in pairs of blocks, but none that lies in one component.
+    Comparisons rule out by size and bitmap only what can't be similar, and are exact on the rest.
+    """
+    rest = F.struct(F.col("id").isNull().alias("none"), "id", "size", "map", "keys")
+    rows = rows.withColumnRenamed("fingerprint", "node")
+    one = settle(rows.filter("size > 0").groupBy("digest").agg(F.min("node").alias("node"), F.min(rest).alias("x")).select("digest", "node", "x.id", "x.size", "x.map", "x.keys"))
+    nodes = rows.filter("size > 0").select("digest", F.col("node").alias("a")).distinct()
+    same = nodes.join(one.select("digest", F.col("node").alias("b")), "digest").filter("a <> b").select("a", "b")
+
+    least = one.select("digest", F.explode(F.slice("keys", 1, USED)).alias("key"))
+    counts = settle(least.groupBy("key").count().filter("count > 1"))
+    block = F.when(F.col("count") > MEMBERS, F.pmod(F.xxhash64("digest", "key"), F.ceil(F.col("count") / MEMBERS))).otherwise(0)
+    met = least.join(counts, "key").select("digest", "key", block.cast("long").alias("block"))
+    payload = ["digest", "id", "node", "size", "map"]
+    links = settle(_compared(docs, met.join(one.select(*payload, F.col("node").alias("root")), "digest"), similarity, words).unionByName(same))
+
+    roots = components(links.unionByName(known_links))
+    base = settle(one.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    each = base.select("digest", "root", F.explode("keys").alias("key"))
+    between = lambda some: settle(some.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key", "n"))
+    shared = between(each)
+    hot = settle(shared.filter(F.col("n") > COMMON).select("key"))
+    if not hot.isEmpty():
+        each, shared = _rare_first(docs, base, each, hot, similarity, words, keys, between)
+    met = _blocks(each.join(shared, "key"))
+    return links.unionByName(_compared(docs, met.join(base.select(*payload), "digest"), similarity, words))
+
+
+def _sent(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= SENT else df
+
+
+def _rare_first(docs, base, each, hot, similarity, words, keys, between) -> tuple[DataFrame, DataFrame]:
+    """Keys (digest, root, key) by the order that has common shingles last, and the keys that documents of several components have.
+
+    Common is what is hot among the keys, and then what more than ``COMMON`` of the documents have that have something common; until no
+    more documents have. A document that has nothing common among its keys keeps them.
+    """
+    held = None
+    while True:
+        some = each.join(_sent(hot, hot.count()), "key", "left_semi").select("digest").distinct()
+        some = settle(some if held is None else some.join(held, "digest", "left_anti"))
+        if some.isEmpty():
+            break
+        new = settle(_sets(docs, base.join(some, "digest").select("id", "digest", "root", "size"), words))
+        held = new if held is None else settle(held.unionByName(new))
+        often = held.select(F.explode("set").alias("key")).groupBy("key").count().filter(F.col("count") > COMMON).select("key")
+        hot = settle(hot.unionByName(often).distinct())
+    marked = held.select("digest", "root", "size", F.explode("set").alias("key")).join(_sent(hot.withColumn("common", F.lit(True)), hot.count()), "key", "left")
+    order = F.array_sort(F.collect_list(F.struct(F.coalesce("common", F.lit(False)).alias("common"), "key")))
+    whole = (F.col("size") - F.ceil(similarity * F.col("size") - 1e-9) + 1).cast("int")
+    few = whole if keys is None else F.when(F.col("n") >= SHARE * F.col("size"), whole).otherwise(F.least(whole, F.lit(keys)))
+    placed = marked.groupBy("digest", "root", "size").agg(order.alias("all"), F.count("common").alias("n"))
+    more = placed.select("digest", "root", F.explode(F.slice("all", F.lit(1), few)).alias("x")).select("digest", "root", "x.key")
+    each = settle(each.join(held.select("digest"), "digest", "left_anti").unionByName(more))
+    return each, between(each)
+
+
+def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """The columns of ``wanted`` but for the id, and the set of each digest, from the texts of their ids."""
+
+    def make():
         def run(texts):
-            own = [shingle_set(t, words) for t in texts]
-            digests = [xxhash.xxh64_intdigest(m.tobytes(), SEED) for m in own]
-            return [_signed(map(fingerprint, texts)), _signed(digests), _signed(map(_majority, own)), [len(m) for m in own], [_signed(m[:KEYS]) for m in own]]
+            made = [shingle_set(t, words) for t in texts]
+            return [_signed(xxhash.xxh64_intdigest(m.tobytes(), SEED) for m in made), [m.view(np.int64) for m in made]]
 
         return run
 
-    fields = [("node", T.LongType()), ("digest", T.LongType()), ("print", T.LongType()), ("size", T.LongType()), ("keys", longs)]
-    rows = settle(append_columns(docs, ["text"], ["id"], fields, sketch))
-    rest = F.struct(F.col("id").isNull().alias("none"), "id", "print", "size", "keys")
-    distinct = rows.groupBy("node", "digest").agg(F.min(rest).alias("x")).select("node", "digest", "x.*")
-    keyed = distinct.select("node", "digest", "id", "print", "size", F.posexplode("keys").alias("place", "key"))
-    # Settled, so that the join stands on plain shuffles and a common key's rows can be split between tasks.
-    known = keyed.join(settle(keyed.groupBy("key").count().filter("count > 1")), "key")
-    order = F.array_sort(F.collect_list(F.struct((F.col("count") > MEMBERS).alias("common"), "place", "key", "count")))
-    chosen = known.groupBy("node", "digest", "id", "print", "size").agg(F.slice(order, 1, USED).alias("all")).withColumn("k", F.explode("all"))
-    # Of two documents' shared keys only the least needs to compare them; in random blocks they surely meet under none.
-    whole = F.filter("all", lambda x: ~x["common"] & (F.col("k.common") | (x["key"] < F.col("k.key"))))
-    less = F.filter("all", lambda x: x["common"] & F.col("k.common") & (x["key"] < F.col("k.key")))
-    keys = lambda some: F.transform(some, lambda x: x["key"])
-    chosen = settle(chosen.select("node", "digest", "id", "print", "size", "k.key", "k.common", "k.count", keys(whole).alias("done"), keys(less).alias("later")))
-    block = F.when(F.col("common"), F.pmod(F.xxhash64("digest", "key"), F.ceil(F.col("count") / MEMBERS))).otherwise(0)
-    found = _compared(docs, chosen.withColumns({"block": block, "root": F.col("node")}), similarity, words)
-    common = chosen.filter("common").withColumn("done", F.concat("done", "later")).drop("count", "later")
-    if common.isEmpty():
-        return found
-    roots = components(found if known_links is None else found.unionByName(known_links))
-    common = settle(common.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    crowds = common.groupBy("key").agg(F.when(F.count("*") > MEMBERS, F.ceil(F.count("*") * 2 / MEMBERS)).otherwise(1).alias("n"), (F.min("root") < F.max("root")).alias("apart")).filter("apart").drop("apart")
-    placed = common.join(settle(crowds), "key").withColumn("own", F.pmod(F.xxhash64("digest", "key"), "n"))
-    others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda x: (x != F.col("own")) | (F.col("n") == 1))
-    paired = placed.withColumn("other", F.explode(others)).withColumn("block", F.least("own", "other") * F.col("n") + F.greatest("own", "other"))
-    return settle(found.unionByName(_compared(docs, paired, similarity, words)).distinct())
+    wanted = _sent(wanted.withColumnRenamed("id", "of"), wanted.count())
+    texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("of")))
+    full = append_columns(texts, ["text"], ["digest", "root", "size"], [("own", T.LongType()), ("set", T.ArrayType(T.LongType()))], make)
+    return full.filter("own = digest").drop("own").dropDuplicates(["digest"])
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """(digest, root, key, block) of rows with the number n of their key's; a large shard goes in pairs of blocks of ``COMMON``, except pairs that lie in one component."""
+    whole = rows.filter(F.col("n") <= 2 * COMMON).select("digest", "root", "key", F.lit(0).cast("long").alias("block"))
+    large = rows.filter(F.col("n") > 2 * COMMON)
+    crowds = settle(large.groupBy("key", "root").count())
+    if crowds.isEmpty():
+        return whole
+    large = large.join(crowds, ["key", "root"])
+    crowd = F.col("count") > COMMON
+    own = F.when(crowd, F.xxhash64("root", F.pmod(F.xxhash64("digest"), F.ceil(F.col("count") / COMMON)))).otherwise(F.pmod(F.xxhash64("root"), F.ceil(F.col("n") / COMMON)))
+    large = large.select("digest", "root", "key", own.alias("own"), F.when(crowd, F.col("root")).alias("of"))
+    labels = settle(large.select("key", F.col("own").alias("other"), F.col("of").alias("other_of")).distinct())
+    apart = F.coalesce(F.col("of") != F.col("other_of"), F.lit(True)) & ((F.col("own") != F.col("other")) | F.col("of").isNull())
+    block = F.xxhash64(F.least("own", "other"), F.greatest("own", "other"))
+    return whole.unionByName(large.join(labels, "key").filter(apart).select("digest", "root", "key", block.alias("block")))
+
+
+def _groups(batches, keys: list[str], values: list[str]):
+    """(key, rows) of each group of neighbouring rows with equal keys."""
+    now, held = None, []
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in (*keys, *values)]
+        for row in zip(*columns, strict=True):
+            if row[: len(keys)] != now:
+                if held:
+                    yield now, held
+                now, held = row[: len(keys)], []
+            held.append(row[len(keys) :])
+    if held:
+        yield now, held
 
 
 def _compared(docs: DataFrame, members: DataFrame, similarity: float, words: int) -> DataFrame:
-    """Links between members (node, digest, id, print, size, root, done, key, block) of a block of a key, but not between those of
-    one root or those that share a key of ``done``."""
-    longs = T.ArrayType(T.LongType())
-    member = F.struct("node", "digest", "id", "print", "size", "root", "done")
-    shards = members.groupBy("key", "block").agg(F.collect_list(member).alias("members")).filter(F.size("members") > 1)
-    kind = docs.schema["id"].dataType.simpleString()
+    """Links between members (digest, id, node, size, map, root) of a block of a key that connect what is similar of different roots.
+
+    Shards are gathered as sorted rows, not as lists in a row. Sets are fetched of those only that a bitmap doesn't rule out.
+    """
+    kind = docs.schema["id"].dataType
+    sort = lambda df: df.repartition("key", "block").sortWithinPartitions("key", "block")
+    held = ["of", "node", "digest", "root", "size", "map"]
 
     def near(batches):
-        for batch in (whole.slice(at, 64) for whole in batches for at in range(0, whole.num_rows, 64)):
-            out = []
-            for key, blocked, members in zip(*(batch.column(c).to_pylist() for c in ("key", "block", "members")), strict=True):
-                out += [(m["id"], key, blocked, m["node"], m["digest"], m["root"]) for m in _with_neighbours(members, similarity)]
-            columns = list(zip(*out, strict=True)) if out else [[]] * 6
-            types = [batch.schema.field("members").type.value_type.field("id").type, *[pa.int64()] * 5]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), type=t) for c, t in zip(columns, types, strict=True)], names=["of", "key", "block", "node", "digest", "root"])
+        out = []
 
-    found = shards.mapInArrow(near, f"of {kind}, key long, block long, node long, digest long, root long")
+        def packed():
+            columns = list(zip(*out, strict=True)) if out else [[]] * 6
+            return pa.RecordBatch.from_arrays([pa.array(list(c), type=t) for c, t in zip(columns, types, strict=True)], names=["key", "block", "of", "node", "digest", "root"])
+
+        types = [pa.int64(), pa.int64(), to_arrow_type(kind), *[pa.int64()] * 3]
+        for key, rows in _groups(batches, ["key", "block"], held):
+            if len(rows) > 1:
+                hit = set()
+                for i, others in near_pairs([r[5] for r in rows], [r[4] for r in rows], [r[3] for r in rows], similarity):
+                    hit |= {i, *others}
+                out += [(*key, *rows[i][:4]) for i in sorted(hit)]
+                if len(out) > 10_000:
+                    yield packed()
+                    out.clear()
+        yield packed()
+
+    found = sort(members.select("key", "block", F.col("id").alias("of"), "node", "digest", "root", "size", "map")).mapInArrow(near, T.StructType([T.StructField("key", T.LongType()), T.StructField("block", T.LongType()), T.StructField("of", kind), *(T.StructField(c, T.LongType()) for c in ("node", "digest", "root"))]))
     wanted = settle(found.groupBy("of").agg(F.collect_set(F.struct("key", "block", "node", "digest", "root")).alias("shards")))
-    if wanted.count() <= SENT:
-        wanted = F.broadcast(wanted)
+    wanted = _sent(wanted, wanted.agg(F.sum(F.size("shards"))).head()[0] or 0)
 
     def sets():
         def run(texts):
             made = [shingle_set(t, words) for t in texts]
-            return [_signed(xxhash.xxh64_intdigest(m.tobytes(), SEED) for m in made), _signed(map(_majority, made)), [m.view(np.int64).tolist() for m in made]]
+            return [_signed(xxhash.xxh64_intdigest(m.tobytes(), SEED) for m in made), [m.tobytes() for m in made]]
 
         return run
 
     texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("of")))
-    full = append_columns(texts, ["text"], ["shards"], [("own", T.LongType()), ("print", T.LongType()), ("set", longs)], sets)
-    each = full.select("own", "print", "set", F.explode("shards").alias("s")).filter("own = s.digest")
-    groups = each.groupBy("s.key", "s.block").agg(F.collect_list(F.struct("s.node", "print", "set", "s.root")).alias("members")).filter(F.size("members") > 1).select("members")
+    full = append_columns(texts, ["text"], ["shards"], [("own", T.LongType()), ("set", T.BinaryType())], sets)
+    each = full.select("own", "set", F.explode("shards").alias("s")).filter("own = s.digest").select("s.key", "s.block", "s.node", "s.root", "set")
 
     def search(batches):
-        for batch in (whole.slice(at, 1) for whole in batches for at in range(whole.num_rows)):
-            members = batch.column("members").flatten()
-            nodes, prints, held, roots = (members.field(k) for k in ("node", "print", "set", "root"))
-            rows = [(n, p & (1 << 64) - 1, np.asarray(own.values).view(np.uint64)) for n, p, own in zip(nodes.to_pylist(), prints.to_pylist(), held, strict=True)]
-            a = np.array(similar_links(rows, similarity, groups=roots.to_pylist()), dtype=np.int64).reshape(-1, 2)
+        for _, rows in _groups((whole.slice(at, 64) for whole in batches for at in range(0, whole.num_rows, 64)), ["key", "block"], ["node", "root", "set"]):
+            pairs = similar_links([(n, r, np.frombuffer(s, dtype=np.uint64)) for n, r, s in rows], similarity)
+            a = np.array(pairs, dtype=np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], names=["a", "b"])
 
-    return settle(groups.mapInArrow(search, "a long, b long").distinct())
-
-
-def _with_neighbours(members: list[dict], similarity: float, radius: int = NEAR) -> list[dict]:
-    """Members of a shard that have another of like size, but another root and no key of ``done`` in common, within the radius."""
-    prints = np.array([m["print"] & (1 << 64) - 1 for m in members], dtype=np.uint64)
-    sizes, roots = (np.array([m[k] for m in members], dtype=np.int64) for k in ("size", "root"))
-    hit, done = np.zeros(len(members), dtype=bool), [frozenset(m["done"]) for m in members]
-    for i in range(1, len(members)):
-        near = _near(prints, sizes, i, similarity, radius)
-        near = [j for j in near[roots[near] != roots[i]].tolist() if done[i].isdisjoint(done[j])]
-        hit[near] = True
-        hit[i] |= len(near) > 0
-    return [members[i] for i in np.flatnonzero(hit)]
+    return settle(sort(each).mapInArrow(search, "a long, b long").distinct())
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = RADIUS, most: int = SHARD, similarity: float | None = None) -> DataFrame:
-    """id, fingerprint, component_id (least id that links reach) and n_links (fingerprints of the component besides its own).
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = RADIUS, most: int = SHARD, similarity: float | None = None, keys: int | None = KEYS) -> DataFrame:
+    """id, fingerprint, component_id (least id that links reach) and n_others (fingerprints of the component besides its own).
 
     With a ``similarity``, documents whose sets of five-word shingles have at least that Jaccard similarity are linked, too.
     """
-    docs = settle(fingerprints(df, id_col, text_col, shingle))
+    if similarity is None:
+        docs = settle(fingerprints(df, id_col, text_col, shingle))
+    else:
+        docs = settle(sketches(df, id_col, text_col, shingle, similarity, keys=keys))
     distinct = settle(docs.groupBy("fingerprint").agg(F.min("id").alias("least")))
     edges = links(distinct, radius, most)
     if similarity is not None:
-        edges = edges.unionByName(copies(df, id_col, text_col, similarity, known_links=edges)).distinct()
+        texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+        edges = edges.unionByName(similar(texts, docs, similarity, edges, keys=keys)).distinct()
     roots = components(edges)
     joined = distinct.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
-    groups = joined.groupBy("root").agg(F.min("least").alias("component_id"), (F.count("*") - 1).alias("n_links"))
-    of = settle(joined.select("fingerprint", "root").join(groups, "root").select("fingerprint", "component_id", "n_links"))
-    return docs.join(of, "fingerprint").select("id", "fingerprint", "component_id", "n_links")
+    # Settled, so that the join stands on plain shuffles and a large component's rows can be split between tasks.
+    groups = settle(joined.groupBy("root").agg(F.min("least").alias("component_id"), (F.count("*") - 1).alias("n_others")))
+    of = settle(joined.select("fingerprint", "root").join(groups, "root").select("fingerprint", "component_id", "n_others"))
+    return docs.select("id", "fingerprint").join(of, "fingerprint").select("id", "fingerprint", "component_id", "n_others")

@@ -173,26 +173,8 @@ def test_near_duplicates_of_odd_tables(tables):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("members", [300, 4])
-def test_similar_documents_are_linked(spark, monkeypatch, members):
-    """By brute force; with small shards, where all shingles of the copies count as common, dense groups stay together."""
-    monkeypatch.setattr(simhash, "MEMBERS", members)
-    rng = random.Random(members)
-    texts = []
-    for _ in range(12):
-        words = prose(rng, 120).split()
-        texts.append(" ".join(words))
-        for _ in range(4 if members > 100 else 0):
-            copy = list(words)
-            for k in rng.sample(range(120), rng.choice([1, 2, 3, 6, 12])):
-                copy[k] = f"new{k}"
-            texts.append(" ".join(copy))
-    if members < 100:
-        words = prose(rng, 400).split()
-        texts += [" ".join([*words[:k], "odd", *words[k:]]) for k in range(0, 400, 10)]
-    texts += ["", "three short words", "Three  short words", "four quite short words", None]
-    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.id: r.component_id for r in simhash.near_duplicates(rows, similarity=0.8).collect()}
+def linked(texts, similarity=0.8):
+    """Components of all pairs, by brute force: least place that links reach."""
     sets = [set(simhash.shingle_set(t).tolist()) for t in texts]
     prints = [plain_fingerprint(t) for t in texts]
     parent = list(range(len(texts)))
@@ -205,9 +187,82 @@ def test_similar_documents_are_linked(spark, monkeypatch, members):
     for i in range(len(texts)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if (prints[i] ^ prints[j]).bit_count() <= 2 or both and both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+            if (prints[i] ^ prints[j]).bit_count() <= 2 or both and both >= similarity * (len(sets[i]) + len(sets[j]) - both):
                 parent[max(root(i), root(j))] = min(root(i), root(j))
-    assert got == {i: root(i) for i in range(len(texts))}
+    return {i: root(i) for i in range(len(texts))}
+
+
+def similar_components(spark, texts, keys):
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.id: r.component_id for r in simhash.near_duplicates(rows, similarity=0.8, keys=keys).collect()}
+
+
+@pytest.mark.parametrize(("members", "common", "keys"), [(300, 500, simhash.KEYS), (4, 6, simhash.KEYS), (4, 6, None), (2, 1, None)])
+def test_similar_documents_are_linked(spark, monkeypatch, members, common, keys):
+    """By brute force; with small bounds all shingles of the copies count as common, and shards go in pairs of blocks."""
+    monkeypatch.setattr(simhash, "MEMBERS", members)
+    monkeypatch.setattr(simhash, "COMMON", common)
+    rng = random.Random(members + common)
+    texts = []
+    for _ in range(10):
+        words = prose(rng, 120).split()
+        texts.append(" ".join(words))
+        for _ in range(5):
+            copy = list(words)
+            for k in rng.sample(range(120), rng.choice([1, 2, 3, 4, 6, 12])):
+                copy[k] = f"new{k}"
+            texts.append(" ".join(copy))
+    words = prose(rng, 300).split()
+    texts += [" ".join([*words[:k], "odd", *words[k:]]) for k in range(0, 300, 15)]
+    passage = prose(rng, 80)
+    texts += [f"{passage} {' '.join(f'own{i}x{k}' for k in range(n))}" for i, n in enumerate((8, 9, 12, 14, 16, 18, 20, 25, 60))]
+    texts += ["", "three short words", "Three  short words", "four quite short words", None]
+    assert similar_components(spark, texts, keys) == linked(texts)
+
+
+@pytest.mark.parametrize(("common", "keys"), [(500, simhash.KEYS), (4, simhash.KEYS), (4, None)])
+def test_lone_pairs_among_many_that_share_a_passage(spark, monkeypatch, common, keys):
+    """Most shingles of a text come from the passage, so all of those are common."""
+    monkeypatch.setattr(simhash, "MEMBERS", 4)
+    monkeypatch.setattr(simhash, "COMMON", common)
+    rng = random.Random(21)
+    passage, texts = prose(rng, 300), []
+    for i in range(40):
+        tail = [f"own{i}x{k}" for k in range(62)]
+        texts.append(f"{passage} {' '.join(tail)}")
+        texts.append(f"{passage} {' '.join([*tail[:30], 'odd', *tail[31:]])}")
+    want = linked(texts)
+    assert want[0] == want[1] == 0 and want[2] == 2
+    assert similar_components(spark, texts, keys) == want
+
+
+def test_similar_links_of_a_table(spark):
+    """All links of whole table sf0.01, by counting the shingles that texts share."""
+    from collections import Counter, defaultdict
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    sets = {i: simhash.shingle_set(t).tolist() for i, t in texts.items()}
+    holders = defaultdict(list)
+    for i, own in sets.items():
+        for h in own:
+            holders[h].append(i)
+    both = Counter((i, j) for held in holders.values() for i in held for j in held if i < j)
+    pairs = [(i, j) for (i, j), n in both.items() if n >= 0.8 * (len(sets[i]) + len(sets[j]) - n)]
+    got = {r.id: r.component_id for r in simhash.near_duplicates(docs, similarity=0.8).collect()}
+    assert len(pairs) > 50 and all(got[i] == got[j] for i, j in pairs)
+
+
+def test_bitmaps_rule_out_only_what_cannot_be_similar():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        n = int(rng.choice([1, 3, 20, 40, 200, 3000]))
+        a = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        b = np.unique(np.concatenate((a[rng.random(len(a)) < rng.choice([0.7, 0.9, 0.97, 1.0])], rng.integers(0, 2**64, int(rng.integers(0, n // 6 + 2)), dtype=np.uint64))))
+        if len(a) and len(b):
+            both = len(np.intersect1d(a, b))
+            found = list(simhash.near_pairs([simhash.bitmap(a), simhash.bitmap(b)], [len(a), len(b)], [0, 1], 0.8))
+            assert found or both < 0.8 * (len(a) + len(b) - both)
 
 
 # ---- mixing
@@ -323,23 +378,6 @@ def test_distinct_keeps_rows_with_null_or_repeated_ids(spark):
     assert got == sorted([(None, texts[0]), (None, texts[1]), (None, texts[2]), (5, texts[3]), (5, texts[4]), (6, texts[5]), (5, None)], key=str)
 
 
-def test_lone_pairs_among_many_that_share_a_passage(spark, monkeypatch):
-    """All shingles that a text is keyed by come from the passage; pairs meet in each of 60 blocks."""
-    monkeypatch.setattr(simhash, "MEMBERS", 4)
-    rng = random.Random(21)
-    passage, texts = prose(rng, 300), []
-    for i in range(120):
-        tail = [f"own{i}x{k}" for k in range(62)]
-        texts.append(f"{passage} {' '.join(tail)}")
-        texts.append(f"{passage} {' '.join([*tail[:30], 'odd', *tail[31:]])}")
-    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.id: r.component_id for r in simhash.near_duplicates(rows, similarity=0.8).collect()}
-    sets = [set(simhash.shingle_set(t).tolist()) for t in texts]
-    alike = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
-    assert not alike(0, 2) and all(alike(i, i + 1) for i in range(0, 240, 2))
-    assert all(got[i] == got[i + 1] for i in range(0, 240, 2))
-
-
 def test_licence_files_by_distinguishing_terms(spark):
     bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the notice.\n\n2. Redistributions in binary form must reproduce the notice.\n"
     isc = "Copyright (c) 2020 A\n\nPermission to use, copy, modify, and/or distribute this software for any purpose\nwith or without fee is hereby granted, provided that the above copyright notice\nand this permission notice appear in all copies.\n"
