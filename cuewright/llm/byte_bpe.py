@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import append_columns
+from .common import append_columns, held
 
 #: Code points of a chunk and of the overlap after it.
 CHUNK, OVERLAP = 65_536, 2_048
@@ -96,17 +96,12 @@ class Codec:
         return [m.start() for m in regex.finditer(self.pattern, text)]
 
 
-_codecs: dict[tuple[str, str], Codec] = {}
-
-
 def codec(path: str | None = None, pattern: str | None = None) -> Codec:
     """The codec of a rank file, made once a worker; by default the vocabulary for many languages."""
     import public_tokenizers
 
     key = (path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), pattern or public_tokenizers.PATTERN)
-    if key not in _codecs:
-        _codecs[key] = Codec(*key)
-    return _codecs[key]
+    return held(("codec", *key), lambda: Codec(*key))
 
 
 def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, pattern: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 from collections.abc import Callable, Sequence
 
@@ -19,16 +21,46 @@ WORD = r"[^\x20\x09-\x0D]+"
 ROWS = 256
 
 
+_held: dict = {}
+
+
+def held(key, make: Callable):
+    """What a worker keeps from task to task, made once: a model, a vocabulary. Workers serve one operator after another, so
+    there is one place, and what another operator has left there goes."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+def tidy() -> None:
+    """Give back what a task has freed; a worker lives on and would hold it beside the next operator's."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset and all is one machine."""
     context = spark.sparkContext
     at = context.getCheckpointDir()
     if at is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="shared-"))
+        own = context.getConf().get("spark.checkpoint.dir")
+        if own is None and not (context.master or "").startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(own or tempfile.mkdtemp(prefix="shared-"))
         at = context.getCheckpointDir()
     return at
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    """Remove a folder, where it is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint, so that lost executors cost no recomputation of what stands before."""
     shared_dir(df.sparkSession)
@@ -67,6 +99,7 @@ def append_columns(
                 names=held + new,
             )
             yield out if rows is None else out.filter(pa.array(rows(made), type=pa.bool_()))
+        tidy()
 
     return first.mapInArrow(run, schema)
 
@@ -77,4 +110,4 @@ def word_count(text: str | F.Column) -> F.Column:
     return F.coalesce(F.size(F.array_remove(F.split(text, SPACE + "+"), "")), F.lit(0)).cast("long")
 
 
-__all__ = ["SPACE", "WORD", "append_columns", "read", "settle", "shared_dir", "word_count"]
+__all__ = ["SPACE", "WORD", "append_columns", "drop", "held", "read", "settle", "shared_dir", "tidy", "word_count"]

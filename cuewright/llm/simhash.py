@@ -46,6 +46,8 @@ COMMON, SHARE = 500, 0.4
 WIDEST = 8_192
 #: Rows (a document's place in a shard, a shingle) up to which a table is sent to every task; larger ones are joined by a shuffle.
 SENT = 50_000
+#: Hashes of ids up to which they are sent to every task, so that only the texts that are wanted are shuffled.
+HASHES = 1_000_000
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -331,6 +333,14 @@ def _sent(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= SENT else df
 
 
+def _fetched(docs: DataFrame, wanted: DataFrame, rows: int) -> DataFrame:
+    """The documents that are wanted (by their id, ``of``), with what is wanted of them."""
+    if SENT < rows <= HASHES:
+        hashes = settle(wanted.select(F.xxhash64("of").alias("hash")).distinct())
+        docs = docs.withColumn("hash", F.xxhash64("id")).join(F.broadcast(hashes), "hash", "left_semi").drop("hash")
+    return docs.join(_sent(wanted, rows), F.col("id").eqNullSafe(F.col("of")))
+
+
 def _rare_first(docs, base, each, hot, similarity, words, keys, between) -> tuple[DataFrame, DataFrame]:
     """Keys (digest, root, key) by the order that has common shingles last, and the keys that documents of several components have.
 
@@ -343,11 +353,12 @@ def _rare_first(docs, base, each, hot, similarity, words, keys, between) -> tupl
         some = settle(some if held is None else some.join(held, "digest", "left_anti"))
         if some.isEmpty():
             break
-        new = settle(_sets(docs, base.join(some, "digest").select("id", "digest", "root", "size"), words))
+        new = settle(_sets(docs, settle(base.join(some, "digest").select("id", "digest", "root", "size")), words))
         held = new if held is None else settle(held.unionByName(new))
         often = held.select(F.explode("set").alias("key")).groupBy("key").count().filter(F.col("count") > COMMON).select("key")
         hot = settle(hot.unionByName(often).distinct())
-    marked = held.select("digest", "root", "size", F.explode("set").alias("key")).join(_sent(hot.withColumn("common", F.lit(True)), hot.count()), "key", "left")
+    # Dealt by digest while it is one row, not a row a shingle.
+    marked = held.repartition("digest").select("digest", "root", "size", F.explode("set").alias("key")).join(_sent(hot.withColumn("common", F.lit(True)), hot.count()), "key", "left")
     order = F.array_sort(F.collect_list(F.struct(F.coalesce("common", F.lit(False)).alias("common"), "key")))
     whole = (F.col("size") - F.ceil(similarity * F.col("size") - 1e-9) + 1).cast("int")
     few = whole if keys is None else F.when(F.col("n") >= SHARE * F.col("size"), whole).otherwise(F.least(whole, F.lit(keys)))
@@ -367,8 +378,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
         return run
 
-    wanted = _sent(wanted.withColumnRenamed("id", "of"), wanted.count())
-    texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("of")))
+    texts = _fetched(docs, wanted.withColumnRenamed("id", "of"), wanted.count())
     full = append_columns(texts, ["text"], ["digest", "root", "size"], [("own", T.LongType()), ("set", T.ArrayType(T.LongType()))], make)
     return full.filter("own = digest").drop("own").dropDuplicates(["digest"])
 
@@ -435,7 +445,7 @@ def _compared(docs: DataFrame, members: DataFrame, similarity: float, words: int
 
     found = sort(members.select("key", "block", F.col("id").alias("of"), "node", "digest", "root", "size", "map")).mapInArrow(near, T.StructType([T.StructField("key", T.LongType()), T.StructField("block", T.LongType()), T.StructField("of", kind), *(T.StructField(c, T.LongType()) for c in ("node", "digest", "root"))]))
     wanted = settle(found.groupBy("of").agg(F.collect_set(F.struct("key", "block", "node", "digest", "root")).alias("shards")))
-    wanted = _sent(wanted, wanted.agg(F.sum(F.size("shards"))).head()[0] or 0)
+    places = wanted.agg(F.sum(F.size("shards"))).head()[0] or 0
 
     def sets():
         def run(texts):
@@ -444,7 +454,7 @@ def _compared(docs: DataFrame, members: DataFrame, similarity: float, words: int
 
         return run
 
-    texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("of")))
+    texts = _fetched(docs, wanted, places)
     full = append_columns(texts, ["text"], ["shards"], [("own", T.LongType()), ("set", T.BinaryType())], sets)
     each = full.select("own", "set", F.explode("shards").alias("s")).filter("own = s.digest").select("s.key", "s.block", "s.node", "s.root", "set")
 

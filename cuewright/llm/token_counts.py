@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import append_columns, shared_dir
+from .common import append_columns, held, shared_dir
 
 #: Words that a worker remembers.
 REMEMBERED = 400_000
@@ -81,17 +81,12 @@ class Counter:
         return sum(map(self.words.__getitem__, text.lower().split()))
 
 
-_counters: dict[str, Counter] = {}
-
-
 def counter(path: str | None = None) -> Counter:
     """The counter of a tokenizer file, made once a worker."""
     import public_tokenizers
 
     path = path or public_tokenizers.path("word_bpe_49k.json")
-    if path not in _counters:
-        _counters[path] = Counter(path)
-    return _counters[path]
+    return held(("counter", path), lambda: Counter(path))
 
 
 def version(path: str | None = None) -> str:

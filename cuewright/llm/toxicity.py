@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import append_columns, settle
+from .common import append_columns, held, settle
 
 #: Labelled documents that the model is fitted to, at most (chosen by a hash of the id).
 TRAIN_DOCS = 10_000
@@ -134,15 +134,9 @@ class Tagger:
         return self.aggregate(p), ",".join(spans)
 
 
-_taggers: dict[str, Tagger] = {}
-
-
 def tagger(model: Model) -> Tagger:
     """The model's tagger, made once a worker."""
-    if model.key not in _taggers:
-        _taggers.clear()
-        _taggers[model.key] = Tagger(model)
-    return _taggers[model.key]
+    return held(("tagger", model.key), lambda: Tagger(model))
 
 
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most: int = TRAIN_DOCS) -> DataFrame:
