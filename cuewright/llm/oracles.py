@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from .quality import DELTA, GRID, RISK
+from .quality import DELTA, DUP_LINES, FEWEST, LONGER, NORMAL, PATH, REPEATS, RISK, SHORTER, SYMBOLS
 from .secrets import BASE, CHARACTERS, KINDS, OWNERS, REPOSITORIES
 
+_WORDS = "greatest(n_words, 1)"
 _RULES = {
-    "symbols": "least(1.0, n_symbols / greatest(word_chars, 1))",
-    "dup_lines": "n_dup_lines / greatest(n_lines, 1)",
-    "repeats": "n_repeat_words / greatest(n_words, 1)",
-    "long_words": "greatest(0.0, 1 - 5 / greatest(word_chars / greatest(n_words, 1), 1.0))",
-    "short_words": "greatest(0.0, 1 - (word_chars / greatest(n_words, 1)) / 5)",
-    "brevity": "1 / greatest(n_words, 1)",
+    "symbols": f"n_symbols / greatest(word_chars, 1) / {SYMBOLS}::DOUBLE",
+    "dup_lines": f"n_dup_lines / greatest(n_lines, 1) / {DUP_LINES}::DOUBLE",
+    "repeats": f"n_repeat_words / {_WORDS} / {REPEATS}::DOUBLE",
+    "long_words": f"greatest(0::DOUBLE, (word_chars / {_WORDS} - {NORMAL}::DOUBLE) / {LONGER}::DOUBLE)",
+    "short_words": f"greatest(0::DOUBLE, ({NORMAL}::DOUBLE - word_chars / {_WORDS}) / {SHORTER}::DOUBLE)",
+    "brevity": f"{FEWEST}::DOUBLE / {_WORDS}",
 }
-_SHARE = RISK / len(_RULES)
 
 QUALITY = rf"""WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, lang, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
@@ -22,17 +22,17 @@ rp AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_
 cv AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM rp, range(5) r(j) GROUP BY doc_id),
 st AS (SELECT w.doc_id, w.lang, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars, (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
   len(ls)::BIGINT AS n_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(cv.n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN cv ON cv.doc_id = w.doc_id),
-bf AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM st),
+bf AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, greatest({", ".join(_RULES.values())}) AS severity FROM st),
 lb AS (SELECT doc_id, min(quality) AS quality FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
-ru AS ({" UNION ALL ".join(f"SELECT doc_id, lang, base_failed, '{r}' AS rule, ({v})::DOUBLE AS v FROM bf" for r, v in _RULES.items())}),
-gd AS (SELECT ru.lang, ru.rule, ru.v FROM ru JOIN lb ON lb.doc_id = ru.doc_id WHERE quality = 1 AND NOT base_failed),
-cu AS (SELECT k / 50.0::DOUBLE AS cutoff FROM range(1, {len(GRID) + 1}) r(k)),
-ct AS (SELECT lang, rule, cutoff, count(*) AS n, count(*) FILTER (v > cutoff) AS k FROM gd, cu GROUP BY lang, rule, cutoff),
-ts AS (SELECT count(DISTINCT coalesce(lang, '')) * {len(_RULES) * len(GRID)} AS tests FROM gd),
-ok AS (SELECT lang, rule, min(cutoff) AS cutoff FROM ct, ts WHERE k < n * {_SHARE!r}
-  AND list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({_SHARE!r}) + (n - i) * ln(1 - {_SHARE!r})))) <= {DELTA!r} / tests GROUP BY lang, rule),
-bad AS (SELECT DISTINCT ru.doc_id FROM ru JOIN ok ON ok.lang IS NOT DISTINCT FROM ru.lang AND ok.rule = ru.rule WHERE ru.v > ok.cutoff)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM bf"""
+gd AS (SELECT bf.lang, bf.doc_id, max(severity) AS severity FROM bf JOIN lb ON lb.doc_id = bf.doc_id WHERE quality = 1 AND NOT base_failed GROUP BY bf.lang, bf.doc_id),
+cu AS (SELECT unnest(range({len(PATH)})) AS j, unnest({list(PATH)}::DOUBLE[]) AS cutoff),
+ct AS (SELECT lang, j, cutoff, count(*) AS n, count(*) FILTER (severity > cutoff) AS k FROM gd, cu GROUP BY lang, j, cutoff),
+pv AS (SELECT lang, j, cutoff, CASE WHEN k < n * {RISK!r}::DOUBLE THEN list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK!r}) + (n - i) * ln(1 - {RISK!r})))) ELSE 1 END AS p FROM ct),
+wo AS (SELECT lang, j, cutoff, max(p) OVER (PARTITION BY lang ORDER BY j) AS p FROM pv),
+fi AS (SELECT p, row_number() OVER (ORDER BY p) - 1 AS place, count(*) OVER () AS strata FROM wo WHERE j = {len(PATH) - 1}),
+lv AS (SELECT {DELTA!r}::DOUBLE / greatest(1, max(strata) - coalesce(min(place) FILTER (p > {DELTA!r}::DOUBLE / (strata - place)), max(strata))) AS level FROM fi),
+ok AS (SELECT lang, min(cutoff) AS cutoff FROM wo, lv WHERE p <= level GROUP BY lang)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(severity > cutoff, false) AS kept FROM bf LEFT JOIN ok ON ok.lang IS NOT DISTINCT FROM bf.lang"""
 
 
 def _candidates(place: int) -> str:

@@ -1,14 +1,16 @@
 """Quality rules with risk-controlled thresholds, in DataFrame functions only.
 
-Each rule rejects a document whose statistic exceeds a cutoff. Cutoffs come from a fixed grid: for each stratum and rule the
-strictest one for which labelled good documents show, by the exact binomial tail, that it rejects at most the rule's share of the
-allowed risk among good documents. The tail must be below the error level divided by the number of all tests made (strata times
-rules times cutoffs), so with probability 1 - ``delta`` no stratum loses more than ``risk`` of its good documents. Where labels
-are too few for any cutoff, the rule doesn't reject there.
+Each rule gives a severity: a statistic over a level that is fixed for it. A document's severity is the greatest of its rules'; it
+is rejected where that exceeds its stratum's cutoff. Cutoffs are tried in a fixed order, the loosest first. At each step the exact
+binomial tail of the labelled good documents that the step rejects is the p-value of "it rejects more than ``risk`` of the good
+ones"; a stratum stops at the first step that isn't significant, so the steps need no correction among themselves. Strata share the
+error level by Holm's rule: one whose last step is significant gives its part to the others. So with probability 1 - ``delta`` no
+stratum loses more than ``risk`` of its good documents that pass the base verdict. Where labels are too few for any step, nothing is
+rejected beyond the base verdict.
 
 Null texts count as empty; a null stratum is a stratum of its own; documents without an id or a label don't take part in choosing
-cutoffs; of several labels for one id the least counts; repeated rows are kept; an empty table gives an empty result; other
-columns are ignored.
+cutoffs; of several labels for one id the least counts, and of several rows with one id in a stratum the most severe, once;
+repeated rows are kept; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -17,17 +19,21 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import SPACE, settle
 
 RISK, DELTA = 0.05, 0.05
 #: Windows of words whose repeats count.
 REPEAT = 5
-#: Cutoffs, the same for all rules; statistics are between 0 and 1.
-GRID = tuple(round(0.02 * k, 2) for k in range(1, 50))
+#: Cutoffs of severity in the order in which they are tried.
+PATH = (4.0, 3.0, 2.5, 2.0, 1.75, 1.5, 1.25, 1.0, 0.9, 0.8, 0.7, 0.6, 0.55, 0.5, 0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1)
+#: Levels at which a rule's severity is 1: symbols a word character, shares of repeated lines and words, words in a text, and the mean
+#: length of words: NORMAL is no fault, one longer or shorter by these much is.
+SYMBOLS, DUP_LINES, REPEATS, FEWEST, NORMAL, LONGER, SHORTER = 0.1, 0.3, 0.2, 10.0, 5.0, 5.0, 2.0
 #: Terms of a binomial tail that are added one by one; what is left of it is bounded by a geometric series.
 TERMS = 2_000
-#: A table of cutoffs up to so many rows is sent to every task.
+#: A table of cutoffs up to so many strata is sent to every task.
 SENT = 20_000
 
 
@@ -46,7 +52,8 @@ def statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", st
     )
     docs = docs.withColumn("n_words", F.size("words").cast("long"))
     at = F.sequence(F.lit(1), (F.col("n_words") - (REPEAT - 1)).cast("int"))
-    windows = F.when(F.col("n_words") > REPEAT, F.transform(at, lambda i: F.xxhash64(F.slice("words", i, REPEAT))))
+    docs = docs.withColumn("hashes", F.when(F.col("n_words") > REPEAT, F.transform("words", lambda w: F.xxhash64(w))))
+    windows = F.transform(F.slice("hashes", F.lit(1), F.greatest(F.col("n_words") - (REPEAT - 1), F.lit(0)).cast("int")), lambda h, i: F.xxhash64(h, *(F.get("hashes", i + k) for k in range(1, REPEAT))))
     docs = docs.select(
         "id",
         "stratum",
@@ -75,18 +82,23 @@ def base_failed() -> Column:
 
 
 def rules() -> dict[str, Column]:
-    """The statistic of each rule, between 0 and 1, higher is worse."""
-    mean = F.col("word_chars") / F.greatest("n_words", F.lit(1))
+    """The severity of each rule: 0 is no fault."""
+    words, none = F.greatest("n_words", F.lit(1)), F.lit(0.0)
+    mean = F.col("word_chars") / words
     return {
-        "symbols": F.least(F.lit(1.0), F.col("n_symbols") / F.greatest("word_chars", F.lit(1))),
-        "dup_lines": F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1)),
-        "repeats": F.col("n_repeat_words") / F.greatest("n_words", F.lit(1)),
-        "long_words": F.greatest(F.lit(0.0), 1 - 5 / F.greatest(mean, F.lit(1.0))),
-        "short_words": F.greatest(F.lit(0.0), 1 - mean / 5),
-        "brevity": 1 / F.greatest("n_words", F.lit(1)),
+        "symbols": F.col("n_symbols") / F.greatest("word_chars", F.lit(1)) / SYMBOLS,
+        "dup_lines": F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1)) / DUP_LINES,
+        "repeats": F.col("n_repeat_words") / words / REPEATS,
+        "long_words": F.greatest(none, (mean - NORMAL) / LONGER),
+        "short_words": F.greatest(none, (NORMAL - mean) / SHORTER),
+        "brevity": FEWEST / words,
     }
 
 
+def severity() -> Column:
+    return F.greatest(*rules().values())
+
+
 def _log_gamma(x: Column) -> Column:
     """log of the gamma function for x >= 1, by Stirling's series at x + 8."""
     y = x + 8
@@ -111,36 +123,40 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
     return F.when((k < n * p) & (n > 0), F.least(F.lit(1.0), F.exp(log_term) * total)).otherwise(F.lit(1.0))
 
 
-def cutoffs(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """A row a stratum and rule that has a safe cutoff: stratum, rule, cutoff, and the labels that show it (good, rejected)."""
-    named = rules()
-    share = risk / len(named)
+def cutoffs(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", risk: float = RISK, delta: float = DELTA, path: tuple = PATH) -> DataFrame:
+    """A row a stratum that has a safe cutoff: stratum, cutoff, and the labels that show it (good, rejected)."""
     known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).alias("label"))
     # A document's base verdict isn't the rules' doing, so risk is measured among good documents that pass it.
     good = stats.join(known.filter("label = 1").select("id"), "id").filter(~base_failed())
-    above = lambda value: F.size(F.filter(F.array(*map(F.lit, GRID)), lambda c: value > c))
-    cells = good.select("stratum", *(above(v).alias(r) for r, v in named.items()))
-    pairs = F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), F.col(r).alias("bin")) for r in named)))
-    bins = cells.groupBy("stratum", *named).count().select("stratum", "count", pairs.alias("x")).groupBy("stratum", "x.rule", "x.bin").agg(F.sum("count").alias("n"))
-    bins = settle(bins)
-    tests = bins.select("stratum").distinct().count() * len(named) * len(GRID)
-    grid = bins.groupBy("stratum", "rule").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("by_bin"), F.sum("n").alias("good"))
-    tried = grid.select("stratum", "rule", "good", "by_bin", F.posexplode(F.array(*map(F.lit, GRID))).alias("k", "cutoff"))
-    bad = F.aggregate(F.map_entries("by_bin"), F.lit(0).cast("long"), lambda acc, e: acc + F.when(e["key"] > F.col("k"), e["value"]).otherwise(0))
-    tried = tried.withColumn("rejected", bad).drop("by_bin")
-    safe = tried.filter(binomial_tail(F.col("good"), F.col("rejected"), share) <= delta / max(1, tests))
-    return safe.groupBy("stratum", "rule").agg(F.min_by(F.struct("cutoff", "good", "rejected"), "cutoff").alias("x")).select("stratum", "rule", "x.*")
+    once = good.groupBy("stratum", "id").agg(F.max(severity()).alias("worst"))
+    step = F.size(F.filter(F.array(*map(F.lit, path)), lambda c: c >= F.col("worst")))  # the first that rejects it
+    bins = once.groupBy("stratum", step.alias("step")).count()
+    grid = bins.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("step", "count"))).alias("by_step"), F.sum("count").alias("good"))
+    tried = grid.select("stratum", "good", "by_step", F.posexplode(F.array(*map(F.lit, path))).alias("k", "cutoff"))
+    rejected = F.aggregate(F.map_entries("by_step"), F.lit(0).cast("long"), lambda acc, e: acc + F.when(e["key"] <= F.col("k"), e["value"]).otherwise(0))
+    tried = tried.withColumn("rejected", rejected).drop("by_step").withColumn("p", binomial_tail(F.col("good"), F.col("rejected"), risk))
+    order = Window.partitionBy("stratum").orderBy("k")
+    tried = settle(tried.withColumn("p", F.max("p").over(order)))
+    return tried.filter(F.col("p") <= _level(tried, delta, len(path))).groupBy("stratum").agg(F.min_by(F.struct("cutoff", "good", "rejected"), "cutoff").alias("x")).select("stratum", "x.*")
+
+
+def _level(tried: DataFrame, delta: float, steps: int) -> float:
+    """The level of strata that aren't through: ``delta`` over their number, by Holm's step-down over the p-values of last steps."""
+    last = tried.filter(F.col("k") == steps - 1)
+    n = last.count()
+    ranked = last.select("p", (F.row_number().over(Window.orderBy("p")) - 1).alias("at"))  # a row a stratum
+    through = ranked.filter(F.col("p") > delta / (n - F.col("at"))).agg(F.min("at")).head()[0]
+    return delta / max(1, n - (n if through is None else through))
 
 
 def verdicts(stats: DataFrame, chosen: DataFrame) -> DataFrame:
-    """``statistics`` with base_failed, failed_rules and kept."""
-    by = settle(chosen.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs")))
-    by = by.select(F.coalesce("stratum", F.lit("\0")).alias("of"), "cutoffs")
+    """``statistics`` with base_failed, cutoff, failed_rules and kept."""
+    by = settle(chosen.select(F.coalesce("stratum", F.lit("\0")).alias("of"), "cutoff"))
     if by.count() <= SENT:
         by = F.broadcast(by)
     out = stats.withColumn("of", F.coalesce("stratum", F.lit("\0"))).join(by, "of", "left").drop("of")
-    failed = F.array_compact(F.array(*(F.when(v > F.element_at("cutoffs", r), F.lit(r)) for r, v in rules().items())))
-    out = out.withColumn("failed_rules", failed).withColumn("base_failed", base_failed()).drop("cutoffs")
+    failed = F.array_compact(F.array(*(F.when(v > F.col("cutoff"), F.lit(r)) for r, v in rules().items())))
+    out = out.withColumn("failed_rules", failed).withColumn("base_failed", base_failed())
     return out.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
 
 

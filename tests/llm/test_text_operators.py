@@ -254,10 +254,10 @@ def test_binomial_tail(spark, n, k, p):
 
 
 def test_cutoffs_keep_good_documents(spark):
-    good = [(i, f"word{i} " * 3 + " ".join(f"w{i}x{j}" for j in range(30)) + (" #" * (i % 40 == 0)), "en") for i in range(3000)]
+    good = [(i, f"word{i} " * 3 + " ".join(f"w{i}x{j}" for j in range(30)) + (" #" * (i % 40 == 0)), "en") for i in range(600)]
     bad = [(10_000 + i, " ".join(f"#{j}##$$%%" for j in range(30)), "en") for i in range(100)]
     few = [(20_000 + i, "# " * 20 + " ".join(f"u{i}v{j}" for j in range(20)), None) for i in range(5)]
-    df = spark.createDataFrame([*good, *bad, *few], "doc_id long, text string, lang string")
+    df = spark.createDataFrame([*good, *bad, *few], "doc_id long, text string, lang string").withColumns({"kept": F.lit("clash"), "cutoff": F.lit("clash")})
     labels = df.select("doc_id", (F.col("doc_id") < 10_000).cast("int").alias("quality"))
     out = {r.id: r for r in quality.judge(df, labels).collect()}
     assert sum(not out[i].kept for i, *_ in good) <= quality.RISK * len(good)
@@ -265,6 +265,48 @@ def test_cutoffs_keep_good_documents(spark):
     assert not any(out[i].failed_rules for i, *_ in few)  # too few labels for any cutoff there
 
 
+def by_hand(severities, risk=quality.RISK, delta=quality.DELTA):
+    """Cutoff by stratum, of severities of good documents by stratum."""
+    import math
+
+    def tail(n, k):
+        return sum(math.comb(n, i) * risk**i * (1 - risk) ** (n - i) for i in range(k + 1)) if k < n * risk else 1.0
+
+    ps = {s: np.maximum.accumulate([tail(len(v), sum(x > c for x in v)) for c in quality.PATH]) for s, v in severities.items()}
+    last, level = sorted(p[-1] for p in ps.values()), delta
+    for i, p in enumerate(last):
+        level = delta / (len(last) - i)
+        if p > level:
+            break
+    return {s: min((c for c, x in zip(quality.PATH, p, strict=True) if x <= level), default=None) for s, p in ps.items()}
+
+
+def chosen(spark, severities):
+    """The same by the operator: a severity v is a text of 100 words with v * 10 symbols a hundred characters."""
+    rows = [(f"{s}-{i}", s, 100, 500, round(v * 50), 1, 0, 0) for s, vs in severities.items() for i, v in enumerate(vs)]
+    stats = spark.createDataFrame([*rows, *rows[:3]], "id string, stratum string, n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long")
+    labels = stats.select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    return {r.stratum: r.cutoff for r in quality.cutoffs(stats, labels).collect()}
+
+
+def test_cutoffs_by_hand(spark):
+    rng = random.Random(2)
+    severities = {"a": [0.1] * 150, "b": [round(0.1 + rng.random() ** 6 * 3, 1) for _ in range(400)], "c": [round(rng.random() * 4, 1) for _ in range(120)], None: [0.1] * 40}
+    want = by_hand(severities)
+    got = chosen(spark, severities)
+    assert {s: got.get(s) for s in severities} == want and want["a"] == 0.1 and want["b"] > 0.1 and want[None] is None
+
+
+def test_false_rejection_stays_within_the_risk():
+    """The rule by hand, which the operator equals: in few of many worlds does any stratum lose more than the risk."""
+    rng = np.random.default_rng(5)
+    lost, worlds = 0, 400
+    for _ in range(worlds):
+        draws = {s: rng.exponential(0.35, n) for s, n in (("a", 150), ("b", 400), ("c", 1500))}
+        lost += any(c is not None and np.exp(-c / 0.35) > quality.RISK for c in by_hand({s: v.tolist() for s, v in draws.items()}).values())
+    assert lost <= worlds * (quality.DELTA + 0.03)
+
+
 def test_digest_queries_agree(docs):
     row = byte_bpe.encode(docs.filter("doc_id = 1")).select(F.sha2("ids", 256).alias("x")).head()
     assert row.x == hashlib.sha256(b"").hexdigest()
