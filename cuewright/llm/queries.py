@@ -29,8 +29,9 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
-def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.count_tokens(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+def op3_token_counts(spark: SparkSession, sf_dir: str, cache: str | None = None) -> DataFrame:
+    """``cache``: a folder of counts that runs share; the registered query has one of its own and so encodes every content once."""
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"), cache=cache).withColumnRenamed("id", "doc_id")
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

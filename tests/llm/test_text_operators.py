@@ -68,8 +68,8 @@ def test_counts_equal_the_library(docs):
 
 def test_cache_is_used_and_grows(spark, tmp_path):
     cache = str(tmp_path / "cache")
-    first = spark.createDataFrame([(1, "one two"), (2, "one two")], "doc_id long, text string")
-    token_counts.count_tokens(first, cache=cache).collect()
+    first = spark.createDataFrame([(1, "one two"), (2, " One\t\nTWO ")], "doc_id long, text string")
+    assert {r.id: (r.n_bytes, r.n_tokens) for r in token_counts.count_tokens(first, cache=cache).collect()} == {1: (7, 2), 2: (10, 2)}
     assert spark.read.parquet(cache).count() == 1
     planted = spark.read.parquet(cache).select("tokenizer", F.unhex(F.sha2(F.lit("three"), 256)).alias("digest"), F.lit(77).cast("long").alias("n_tokens"))
     planted.write.mode("append").parquet(cache)
@@ -78,6 +78,26 @@ def test_cache_is_used_and_grows(spark, tmp_path):
     assert spark.read.parquet(cache).count() == 3
 
 
+def test_a_second_run_of_the_query_encodes_nothing(spark, tmp_path):
+    from cuewright.llm import queries
+
+    cache, runs = str(tmp_path / "cache"), []
+    for _ in range(2):
+        runs.append(sorted(map(tuple, queries.op3_token_counts(spark, "/root/testdata/sf0.001", cache).collect())))
+        runs.append(spark.read.parquet(cache).count())
+    assert runs[0] == runs[2] and runs[1] == runs[3] > 0
+
+
+def test_normalised_contents_have_the_counts_of_the_raw(spark):
+    rng = random.Random(12)
+    model = tokenizers.Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    pieces = ["A", "b", "É", "e\u0301", "E\u0301", "Σ", "ΑΣ ", " ", "  ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x85", "\xa0", "\u2003", "İ", "'S", "'s", "1", "!?", "<|", "<|ENDOFTEXT|>", "<|endoftext|>", "|>", "日本"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 12))) for _ in range(2000)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in token_counts.count_tokens(rows).collect():
+        assert r.n_tokens == len(model.encode(texts[r.id], add_special_tokens=False).ids)
+
+
 def test_counts_of_sentencepiece(spark):
     import sentencepiece
 
