@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .quality import DELTA, DUP_LINES, FEWEST, LONGER, NORMAL, PATH, REPEATS, RISK, SHORTER, SYMBOLS
-from .secrets import BASE, CHARACTERS, KINDS, OWNERS, REPOSITORIES
+from .secrets import BASE, INFORMATION, KINDS, OWNERS, REPOSITORIES
 
 _WORDS = "greatest(n_words, 1)"
 _RULES = {
@@ -44,12 +44,15 @@ def _candidates(place: int) -> str:
   WHERE length(value) >= {least}"""
 
 
+_CHARACTERS = "string_split(ca.value, '')"
+_HELD = f"length(ca.value) * log2(length(ca.value)) - list_sum(list_transform(list_transform(list_distinct({_CHARACTERS}), lambda c: len(list_filter({_CHARACTERS}, lambda x: x = c))), lambda n: n * log2(n)))"
+_RANDOM = f"regexp_matches(ca.value, '[A-Za-z]') AND regexp_matches(ca.value, '[0-9]') AND {_HELD} >= {INFORMATION}"
 _NAMED = "CASE place " + " ".join(f"WHEN {i} THEN '{k[0]}'" for i, k in enumerate(KINDS)) + " END || ':' || s || ':' || (s + n)"
 
 SECRETS = f"""WITH d AS (SELECT doc_id, source, lang, coalesce(text, '') AS t FROM documents),
 ca AS ({" UNION ALL ".join(_candidates(i) for i in range(len(KINDS)))}),
 ow AS (SELECT value, count(DISTINCT source || '/' || lang) AS repositories, count(DISTINCT source) AS owners FROM ca GROUP BY value),
-ju AS (SELECT ca.*, owners <= {OWNERS} AND repositories <= {REPOSITORIES} AND len(list_distinct(string_split(ca.value, ''))) >= {CHARACTERS} AS live FROM ca JOIN ow ON ow.value = ca.value)
+ju AS (SELECT ca.*, owners <= {OWNERS} AND repositories <= {REPOSITORIES} AND {_RANDOM} AS live FROM ca JOIN ow ON ow.value = ca.value)
 SELECT d.doc_id, count(*) FILTER (place = 0)::BIGINT AS n_assign, count(*) FILTER (place = 1)::BIGINT AS n_access, count(*) FILTER (place = 2)::BIGINT AS n_hex,
   sha256(coalesce(string_agg({_NAMED}, ',' ORDER BY s, place) FILTER (place < {BASE}), '')) AS base_sha256,
   coalesce(string_agg({_NAMED}, ',' ORDER BY s, place) FILTER (place < {BASE} OR live), '') AS spans, count(*) FILTER (live)::BIGINT AS n_live

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from .common import settle
 
-#: Owners and repositories up to which a value is one owner's own, and distinct characters that a live value has at least.
-OWNERS, REPOSITORIES, CHARACTERS = 2, 3, 6
+#: Owners and repositories up to which a value is one owner's own, and bits that a live value holds at least.
+OWNERS, REPOSITORIES, INFORMATION = 2, 3, 20.5
 
 # Fixed patterns: kind, pattern, group that is the value, least length of the value. The first three are the base.
 KINDS = (
@@ -80,8 +80,13 @@ def as_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(kinds, s["place"]), s["start"], s["end"])), ",")
 
 
-def looks_random() -> Column:
-    return F.size(F.array_distinct(F.split("value", ""))) >= CHARACTERS
+def looks_random(value: str = "value") -> Column:
+    def bits(own: Column) -> Column:
+        often = F.transform(F.array_distinct(own), lambda c: F.size(F.filter(own, lambda x: x == c)).cast("double"))
+        return F.size(own) * F.log2(F.size(own)) - F.aggregate(often, F.lit(0.0), lambda acc, n: acc + n * F.log2(n))
+
+    mixed = F.col(value).rlike("[A-Za-z]") & F.col(value).rlike("[0-9]")
+    return mixed & (_bound(F.split(F.col(value), ""), bits) >= INFORMATION)
 
 
 def ownership(occurrences: DataFrame, owners: int = OWNERS, repositories: int = REPOSITORIES) -> DataFrame:
@@ -99,7 +104,8 @@ def _judged(found: DataFrame, keys: list[str]) -> DataFrame:
     """For each row with candidates (column ``found``): keys and judged, its spans with ``live``."""
     each = found.select(*keys, "repository", "owner", F.explode("found").alias("s")).select(*keys, "repository", "owner", "s.*")
     each = each.withColumn("digest", F.sha2("value", 256))
-    judged = each.join(ownership(each), "digest", "left")
+    # Settled, so that the join stands on plain shuffles and the rows of a value that very many have can be split between tasks.
+    judged = each.join(settle(ownership(each)), "digest", "left")
     live = F.coalesce("owned", F.lit(False)) & looks_random()
     span = F.struct("start", "place", "end", "value", live.alias("live"), "n_repositories", "n_owners")
     return judged.groupBy(*keys).agg(F.array_sort(F.collect_list(span)).alias("judged"))
@@ -122,7 +128,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", reposito
 
 
 def redact(df: DataFrame, text_col: str = "text", repository: Column | None = None, owner: Column | None = None, mark: str = "[secret]") -> DataFrame:
-    """The rows with the values of live spans replaced by a mark, wherever they stand; texts without any stay as they are."""
+    """The rows with the values of live spans replaced by a mark; values that overlap by one mark; all else stays as it is."""
     repository = F.col("source") if repository is None else repository
     owner = F.col("source") if owner is None else owner
     any_of = F.lit(False)
@@ -133,11 +139,14 @@ def redact(df: DataFrame, text_col: str = "text", repository: Column | None = No
     found = settle(found.withColumn("row", F.monotonically_increasing_id()))
     judged = _judged(found.filter(F.size("found") > 0), ["row"])
     rows = found.select("row", "own").join(judged, "row", "left")
-    # Longer values first, so that one within another can't leave a part of it.
-    live = F.array_distinct(F.transform(F.filter("judged", lambda s: s["live"]), lambda s: s["value"]))
-    live = F.reverse(F.array_sort(F.transform(live, lambda v: F.struct(F.char_length(v).alias("n"), v.alias("v")))))
     text = F.col("own")[text_col]
-    new = F.coalesce(F.aggregate(live, text, lambda acc, x: F.replace(acc, x["v"], F.lit(mark))), text)
+    live = F.transform(F.filter("judged", lambda s: s["live"]), lambda s: F.struct((s["end"] - F.char_length(s["value"])).alias("start"), s["end"].alias("end")))  # a value ends its match
+
+    def step(acc, s):
+        new = F.concat(acc["out"], F.substr(text, acc["upto"] + 1, s["start"] - acc["upto"]), F.lit(mark))
+        return F.struct(F.when(s["start"] >= acc["upto"], new).otherwise(acc["out"]).alias("out"), F.greatest(acc["upto"], s["end"]).alias("upto"))
+
+    cut = F.aggregate(F.array_sort(live), F.struct(F.lit("").alias("out"), F.lit(0).alias("upto")), step, lambda acc: F.concat(acc["out"], F.substr(text, acc["upto"] + 1, F.char_length(text))))
+    new = F.when(F.size(live) > 0, cut).otherwise(text)
     changed = rows.select(*(new.alias(c) if c == text_col else F.col("own")[c].alias(c) for c in df.columns))
     return df.filter(~any_of).unionByName(changed)
-
