@@ -1,13 +1,15 @@
 """Byte-level BPE encoding and decoding.
 
-Encoding: a long text is cut into overlapping chunks that are pre-tokenised in parallel. Two neighbouring chunks are stitched
-at the first position of their overlap where both see a pre-token begin after a character that isn't white space: from there
-on a scan depends only on what follows, so the scans agree. Each chunk then encodes the pieces between its stitches. Where an
-overlap has no such position (one pre-token as long as an overlap), the two chunks are joined and scanned as one. Texts no
-longer than a chunk are encoded where they are read. Decoding concatenates the bytes of the ids.
+Encoding: a text is cut into overlapping chunks that are pre-tokenised apart. Two neighbouring chunks are stitched at the first
+position of their overlap where both see a pre-token begin after a character that isn't white space: from there on a scan depends
+only on what follows, so the scans agree. The pieces between the stitches are then encoded. Where an overlap has no such position
+(one pre-token as long as an overlap), the two chunks are joined and scanned as one. Chunks of a text up to ``CHUNK`` and an overlap
+are small ones, scanned and stitched by one worker where the text is read; those of a longer text are spread over workers.
+Decoding concatenates the bytes of the ids.
 
 Pieces repeat, so their ids are remembered in a bounded table in each worker. Texts up to U+024F are split with fixed character
-classes; any other text is split by the library itself, whose tables of Unicode classes are the measure.
+classes; any other text is stitched only after ASCII characters, where tables of Unicode classes can't differ, and the pieces are
+split by the library itself, whose tables are the measure.
 
 Null texts count as empty; empty texts have no ids; null ids and repeated rows are kept as they are; an empty table gives an
 empty result; other columns are ignored, whatever their names.
@@ -19,6 +21,7 @@ import base64
 import re
 import struct
 from functools import cached_property
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,8 +30,9 @@ from pyspark.sql.window import Window
 
 from .common import append_columns, held
 
-#: Code points of a chunk and of the overlap after it.
+#: Code points of a chunk and of the overlap after it: of chunks that are spread over workers, and of those within one.
 CHUNK, OVERLAP = 65_536, 2_048
+SMALL, SMALL_OVERLAP = 4_096, 256
 #: Pieces that a worker remembers.
 REMEMBERED = 150_000
 
@@ -76,6 +80,7 @@ class Codec:
         return _Ids(self.encoding)
 
     def encode(self, text: str | None) -> bytes:
+        """The ids of one piece of text."""
         text = text or ""
         if self.fast and not _BEYOND.search(text):
             get = self.ids.__getitem__
@@ -83,6 +88,39 @@ class Codec:
         ids = self.encoding.encode_ordinary(text)
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def encode_chunks(self, text: str | None, chunk: int = SMALL, overlap: int = SMALL_OVERLAP) -> bytes:
+        """The ids of a text by overlapping chunks, stitched and encoded here."""
+        text = text or ""
+        if len(text) <= chunk + overlap or not self.fast:
+            return self.encode(text)
+        plain = not _BEYOND.search(text)
+        if plain:
+            scan, get = _PIECE.findall, self.ids.__getitem__
+            done = lambda pieces: out.extend([get(x) for x in pieces])
+        else:
+            import regex
+
+            scan = regex.compile(self.pattern).findall
+            done = lambda pieces: out.append(self.encode("".join(pieces)))
+        out, begin, own = [], 0, scan(text[: chunk + overlap])
+        for at in range(chunk, len(text), chunk):
+            more = scan(text[at : at + chunk + overlap])
+            ahead = dict(zip(accumulate(map(len, more), initial=at), range(len(more)), strict=False))
+            end, cut = begin + sum(map(len, own)), None
+            for k in range(len(own) - 1, -1, -1):  # from the end of the overlap to its begin
+                end -= len(own[k])
+                if end <= at:
+                    break
+                if end in ahead and not text[end - 1].isspace() and (plain or text[end - 1] < "\x80"):
+                    cut = k, end
+            if cut is None:
+                own = scan(text[begin : at + chunk + overlap])
+                continue
+            done(own[: cut[0]])
+            begin, own = cut[1], more[ahead[cut[1]] :]
+        done(own)
+        return b"".join(out)
+
     def decode(self, packed: bytes | None) -> bytes:
         packed = packed or b""
         return b"".join(map(self.bytes.__getitem__, struct.unpack(f"<{len(packed) // 4}I", packed)))
@@ -104,14 +142,14 @@ def codec(path: str | None = None, pattern: str | None = None) -> Codec:
     return held(("codec", *key), lambda: Codec(*key))
 
 
-def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, pattern: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, pattern: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP, small: int = SMALL, small_overlap: int = SMALL_OVERLAP) -> DataFrame:
     """id, n_tokens and ids (little-endian unsigned 32-bit integers) of each row."""
     docs = df.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     long = F.char_length("text") > chunk + overlap
 
     def make():
-        work = codec(path, pattern).encode
-        return lambda texts: [[work(t) for t in texts]]
+        work = codec(path, pattern).encode_chunks
+        return lambda texts: [[work(t, small, small_overlap) for t in texts]]
 
     short = append_columns(docs.filter(~long), ["text"], ["id"], [("ids", T.BinaryType())], make)
     out = short.unionByName(_encode_long(docs.filter(long), path, pattern, chunk, overlap))
@@ -131,7 +169,8 @@ def _encode_long(docs: DataFrame, path, pattern, chunk, overlap) -> DataFrame:
         def run(texts):
             first, last = [], []
             for text in texts:
-                fit = [p for p in work.starts(text) if p and not text[p - 1].isspace()]
+                plain = not _BEYOND.search(text)
+                fit = [p for p in work.starts(text) if p and not text[p - 1].isspace() and (plain or text[p - 1] < "\x80")]
                 first.append([p for p in fit if p < overlap])
                 last.append([p - chunk for p in fit if p > chunk])
             return [first, last]
