@@ -59,7 +59,7 @@ def op6_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = tiff.text_media(read(spark, sf_dir, "documents"))
     out = tiff.pages(files, "media", ["id", "n_bytes", "media"])
     pixels = F.col("pixels")
-    feature = F.concat_ws(";", F.concat_ws("x", "width", "height"), F.concat(F.lit("bits="), "bits"), F.concat(F.lit("scheme="), "scheme"), F.concat(F.lit("predictor="), "predictor"), F.concat(F.lit("crc="), F.crc32(pixels)))
+    feature = F.concat_ws(";", F.concat_ws("x", "width", "height"), F.concat(F.lit("bits="), "bits"), F.concat(F.lit("scheme="), "scheme"), F.concat(F.lit("predictor="), "predictor"), F.concat_ws("..", "least", "greatest"), F.concat(F.lit("levels="), "levels"), F.concat(F.lit("total="), "total"), F.concat(F.lit("crc="), F.crc32(pixels)))
     return out.select(
         F.col("id").alias("doc_id"),
         "n_bytes",

@@ -52,8 +52,18 @@ def test_long_texts_are_stitched(spark, encoding, chunk, overlap):
     pieces = ["a", "b ", " ", "\n", "'s", "ll", "12", "é", "日", "!?", "  ", "\t", "word ", "'", "\n\n"]
     texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(20, 160))) for _ in range(40)] + ["x" * 200, " " * 90 + "a", "y " * 80, "y " * 80]
     rows = spark.createDataFrame([(i % 43, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    got = sorted((r.id, bytes(r.ids)) for r in byte_bpe.encode(rows, chunk=chunk, overlap=overlap).collect())
-    assert got == sorted((i % 43, packed(encoding, t)) for i, t in enumerate(texts))
+    want = sorted((i % 43, packed(encoding, t)) for i, t in enumerate(texts))
+    for how in ({"chunk": chunk, "overlap": overlap}, {"small": chunk, "small_overlap": overlap}):  # over workers, and within one
+        assert sorted((r.id, bytes(r.ids)) for r in byte_bpe.encode(rows, **how).collect()) == want
+
+
+def test_stitching_within_a_worker(encoding):
+    rng, codec = random.Random(77), byte_bpe.codec()
+    pieces = ["a", "b ", " ", "\n", "'s", "'ll", "12", "é", "日本 ", "!?", "  ", "\t", "word ", "'", "\n\n", "x" * 30, "\u2003", "😀", "\x1c"]
+    for _ in range(3000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 60)))
+        chunk = rng.randint(1, 40)
+        assert codec.encode_chunks(text, chunk, rng.randint(1, chunk + 9)) == packed(encoding, text)
 
 
 def test_counts_equal_the_library(docs):
@@ -197,11 +207,110 @@ def test_big_endian_and_16_bits(spark):
     assert row.bits == 16 and np.frombuffer(bytes(row.pixels), dtype=np.uint16).tolist() == pixels.ravel().tolist()
 
 
+def patched(data, page, tag, value):
+    """A file of ``tiff.encode`` with another value of a field of a page."""
+    out, at = bytearray(data), struct.unpack_from("<I", data, 4)[0]
+    for _ in range(page):
+        at = struct.unpack_from("<I", data, at + 2 + 12 * struct.unpack_from("<H", data, at)[0])[0]
+    for i in range(struct.unpack_from("<H", data, at)[0]):
+        if struct.unpack_from("<H", data, at + 2 + 12 * i)[0] == tag:
+            struct.pack_into("<I", out, at + 2 + 12 * i + 8, value)
+    return out
+
+
 def test_broken_files_give_errors(spark):
-    rows = spark.createDataFrame([("a", None), ("b", bytearray(b"")), ("c", bytearray(b"II*\0\xff\0\0\0"))], "id string, media binary")
+    rows = spark.createDataFrame([("a", None), ("b", bytearray(b"")), ("c", bytearray(b"II*\0\xff\0\0\0")), ("d", bytearray(b"II*\0\0\0\0\0"))], "id string, media binary")
     assert all(r.error and r.pixels is None for r in tiff.pages(rows).collect())
 
 
+@pytest.mark.parametrize("scheme", [tiff.NONE, tiff.LZW, tiff.DEFLATE, tiff.PACKBITS])
+@pytest.mark.parametrize("tile", [None, (16, 16)])
+def test_a_broken_page_leaves_the_others(scheme, tile):
+    images = [np.full((20, 30), k, dtype=np.uint8) for k in range(3)]
+    data = tiff.encode(images, scheme, 1, rows=20, tile=tile)
+    wrong = [(tiff.WIDTH, 0), (tiff.HEIGHT, 0), (tiff.WIDTH, 2**32 - 1), (tiff.HEIGHT, 2**31), (tiff.DEPTH, 3), (tiff.SAMPLES, 0), (tiff.SAMPLES, 60_000), (tiff.SCHEME, 2), (tiff.PREDICTOR, 3)]
+    wrong += [(tiff.TILE_WIDTH, 0), (tiff.TILE_HEIGHT, 0), (tiff.TILES, 2**31)] if tile else [(tiff.ROWS, 0), (tiff.STRIPS, 2**31), (tiff.STRIP_BYTES, 2**31)]
+    for tag, value in wrong:
+        got = list(tiff._pages_of(bytes(patched(data, 1, tag, value))))
+        assert [p[0] for p in got] == [0, 1, 2] and got[1][-1] and not got[0][-1] and not got[2][-1], (tag, value)
+        assert got[0][-2] == images[0].tobytes() and got[2][-2] == images[2].tobytes()
+
+
+def test_random_bytes_never_raise():
+    rng = random.Random(6)
+    data = tiff.encode([np.arange(600, dtype=np.uint8).reshape(20, 30)] * 2, tiff.LZW, 2, rows=7)
+    for _ in range(1500):
+        out = bytearray(data)
+        for _ in range(rng.randint(1, 6)):
+            out[rng.randrange(len(out))] = rng.randrange(256)
+        assert list(tiff._pages_of(bytes(out[: rng.choice([len(out), rng.randrange(len(out))])]))) is not None
+
+
+@pytest.mark.parametrize("bits", [1, 2, 4])
+def test_pages_of_few_bits(bits):
+    pixels = np.random.default_rng(bits).integers(0, 1 << bits, (9, 13), dtype=np.uint8)
+    strings = ["".join(f"{v:0{bits}b}" for v in row) for row in pixels.tolist()]
+    strip = tiff.pack_bits(b"".join(int(s.ljust(-(-len(s) // 8) * 8, "0"), 2).to_bytes(-(-len(s) // 8), "big") for s in strings))
+    fields = [(256, 13), (257, 9), (258, bits), (259, tiff.PACKBITS), (262, 1), (273, 8), (277, 1), (278, 9), (279, len(strip))]
+    data = b"II*\0" + struct.pack("<I", 8 + len(strip)) + strip + struct.pack("<H", len(fields)) + b"".join(struct.pack("<HHII", t, 4, 1, v) for t, v in fields) + b"\0\0\0\0"
+    (page,) = tiff._pages_of(data)
+    assert page[-1] is None and page[-2] == pixels.tobytes() and page[4] == bits
+
+
+def test_separate_planes():
+    planes = np.random.default_rng(8).integers(0, 256, (3, 5, 7), dtype=np.uint8)
+    body = b"".join(p.tobytes() for p in planes)
+    extra = 8 + len(body)
+    tables = struct.pack("<3I", 8, 8 + 35, 8 + 70) + struct.pack("<3I", 35, 35, 35)
+    fields = [(256, 1, 7), (257, 1, 5), (258, 1, 8), (259, 1, 1), (262, 1, 2), (273, 3, extra), (277, 1, 3), (278, 1, 5), (279, 3, extra + 12), (284, 1, 2)]
+    data = b"II*\0" + struct.pack("<I", extra + 24) + body + tables + struct.pack("<H", len(fields)) + b"".join(struct.pack("<HHII", t, 4, n, v) for t, n, v in fields) + b"\0\0\0\0"
+    (page,) = tiff._pages_of(data)
+    assert page[-1] is None and page[-2] == planes.transpose(1, 2, 0).tobytes()
+
+
+@pytest.mark.parametrize("form", tiff.FORMS)
+def test_another_decoder_reads_the_files(spark, form):
+    """The Java platform's own reader of images."""
+    scheme, predictor, tile = form
+    rng, jvm = np.random.default_rng(4), spark._jvm
+    image = rng.integers(60, 75, (83, 192), dtype=np.uint8)
+    raster = jvm.javax.imageio.ImageIO.read(jvm.java.io.ByteArrayInputStream(bytearray(tiff.encode([image], scheme, predictor, rows=16, tile=tile)))).getRaster()
+    got = np.array([[raster.getSample(x, y, 0) for x in range(0, 192, 13)] for y in range(0, 83, 7)])
+    assert (raster.getWidth(), raster.getHeight()) == (192, 83) and (got == image[::7, ::13]).all()
+
+
+def test_another_encoder_is_read(spark):
+    jvm = spark._jvm
+    picture = jvm.java.awt.image.BufferedImage(40, 30, jvm.java.awt.image.BufferedImage.TYPE_BYTE_GRAY)
+    for y in range(30):
+        for x in range(40):
+            picture.getRaster().setSample(x, y, 0, (x * y) % 251)
+    for name in ("LZW", "PackBits", "Deflate", "ZLib"):
+        writer = jvm.javax.imageio.ImageIO.getImageWritersByFormatName("tiff").next()
+        out = jvm.java.io.ByteArrayOutputStream()
+        stream = jvm.javax.imageio.ImageIO.createImageOutputStream(out)
+        writer.setOutput(stream)
+        how = writer.getDefaultWriteParam()
+        how.setCompressionMode(2)  # explicit
+        how.setCompressionType(name)
+        writer.write(None, jvm.javax.imageio.IIOImage(picture, None, None), how)
+        stream.flush()
+        (page,) = tiff._pages_of(bytes(out.toByteArray()))
+        want = np.array([[(x * y) % 251 for x in range(40)] for y in range(30)], dtype=np.uint8)
+        assert page[-1] is None and page[-2] == want.tobytes(), name
+
+
+def test_equal_texts_have_equal_files_in_all_forms(spark):
+    texts = [f"text {i} " * (i % 40) for i in range(80)] + ["é" * 70_000]
+    rows = tiff.text_media(spark.createDataFrame([(i % len(texts), texts[i % len(texts)]) for i in range(2 * len(texts))], "doc_id long, text string"))
+    files = defaultdict(set)
+    for r in rows.collect():
+        files[r.id].add(bytes(r.media))
+    assert all(len(f) == 1 for f in files.values())
+    seen = {(r.scheme, r.predictor) for r in tiff.pages(rows).collect()}
+    assert seen == {(scheme, predictor) for scheme, predictor, _ in tiff.FORMS}
+
+
 def test_texts_are_kept_by_media(docs):
     texts = dict(enumerate(TEXTS)) | {None: "null id"}
     out = tiff.pages(tiff.text_media(docs), "media", ["id", "n_bytes", "media"]).collect()
