@@ -1,11 +1,13 @@
 """Personal data by patterns and a semi-Markov conditional random field.
 
-Patterns give base spans. A semi-Markov chain adds spans that patterns miss: runs of words with a digit or an at sign are islands;
-every stretch of up to ``LONGEST`` words of an island is a candidate segment, described as a whole (its digits, separators,
-checksum, brackets, words), and a dynamic programme over segments and types chooses boundaries and types jointly. Words outside
-islands are in no candidate, so islands are independent. The weights are fitted by gradient ascent on the conditional likelihood
-of the base spans of a bounded sample, in which some phone numbers lose their plus sign and some addresses are spelt with blanks,
-so that whole-span evidence counts without them.
+Patterns give base spans. A semi-Markov chain adds spans that patterns miss. Islands are runs of words with a digit or an at sign, and
+addresses that are spelt out ("name at mail dot example dot com"). Every stretch of up to ``LONGEST`` words of an island is a
+candidate segment, described as a whole (its digits, separators, checksum, brackets, spelling, words), and a dynamic programme over
+segments and types chooses boundaries and types jointly; it describes a segment when it gets to it, so what it holds of an island
+is a few numbers a word. Words outside islands are in no candidate, so islands are independent. The weights are fitted by gradient
+ascent on the conditional likelihood of islands of a bounded sample. Gold segments are the base spans, and the same islands with
+phone numbers that have lost their plus sign, with addresses spelt out, and with a lone entity twice in a row, so that whole-span
+evidence counts without those marks.
 
 Null and empty texts have no spans; null ids and repeated rows are kept; an empty table gives an empty result and an untrained
 model that adds nothing; other columns are ignored. Positions are code points, ends exclusive.
@@ -28,10 +30,11 @@ from pyspark.sql import types as T
 from .common import append_columns
 
 KINDS = ("email", "ip", "card", "phone")
-#: Words of a segment, documents to learn from (chosen by a hash of the text), and distinct islands to learn from, at most.
-LONGEST, TRAIN_DOCS, TRAIN_ISLANDS = 5, 20_000, 2_000
-#: Words of an island to learn from, at most; longer ones are still decoded.
-ISLAND = 12
+#: Words of a segment at most.
+LONGEST = 7
+#: The sample to learn from: documents (chosen by a hash of the text), distinct islands (the most frequent), and words of one, at most.
+#: All islands of all documents are decoded.
+TRAIN_DOCS, TRAIN_ISLANDS, ISLAND = 20_000, 2_000, 12
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -40,6 +43,10 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _SOME = re.compile("[0-9@]")
 _WORD = re.compile(r"\S+")
+_AT, _DOT = r"(?:at|[(\[]at[)\]])", r"(?:dot|[(\[]dot[)\]])"
+_SPELT = re.compile(rf"(?i)(?<!\S)\S+\s+{_AT}\s+\S+(?:\s+{_DOT}\s+\S+)+")
+_WHOLE_SPELT = re.compile(rf"(?i)[A-Z0-9._%+-]+\s+{_AT}\s+[A-Z0-9-]+(?:\s+{_DOT}\s+[A-Z0-9-]+)+")
+_MAYBE_SPELT = re.compile(r"(?i)\bdot\b")
 _EDGES = ".,;:!?\"'|<>[]{}"
 
 
@@ -86,13 +93,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def islands(text: str) -> list[list[tuple[int, int]]]:
-    """Runs of neighbouring words that have a digit or an at sign, as the places of their words."""
-    if not _SOME.search(text):
+    """Runs of neighbouring words that have a digit or an at sign, or stand in an address that is spelt out, as the places of their words."""
+    spelt = [m.span() for m in _SPELT.finditer(text)] if _MAYBE_SPELT.search(text) else []
+    if not spelt and not _SOME.search(text):
         return []
     out: list[list[tuple[int, int]]] = []
-    neighbour = False
+    neighbour, at = False, 0
     for m in _WORD.finditer(text):
-        if _SOME.search(m[0]):
+        while at < len(spelt) and spelt[at][1] <= m.start():
+            at += 1
+        if at < len(spelt) and spelt[at][0] <= m.start() or _SOME.search(m[0]):
             if neighbour:
                 out[-1].append(m.span())
             else:
@@ -134,6 +144,8 @@ def features(span: str, words: int) -> list[str]:
         out.append("line number")
     if not letters and re.fullmatch(r"[0-9 ().+-]+", span):
         out.append("number")
+    if words >= 5 and _WHOLE_SPELT.fullmatch(span):
+        out.append("spelt")
     return out
 
 
@@ -142,56 +154,63 @@ class Model:
 
     def __init__(self, weight: dict[tuple[int, str], float], bias: list[float], adjoin: float):
         self.weight, self.bias, self.adjoin = weight, bias, adjoin
+        self.known: dict[tuple[str, ...], tuple[float, int]] = {}
 
-    def score(self, kind: int, own: list[str]) -> float:
-        return self.bias[kind] + sum(self.weight.get((kind, f), 0.0) for f in own)
+    def scores(self, own: list[str]) -> list[float]:
+        """Of a segment with these features as each kind."""
+        return [self.bias[kind] + sum(self.weight.get((kind, f), 0.0) for f in own) for kind in range(len(KINDS))]
+
+    def best(self, own: list[str]) -> tuple[float, int]:
+        """The best kind's score and the kind; different sets of features are few."""
+        key = tuple(own)
+        if key not in self.known:
+            scores = self.scores(own)
+            self.known[key] = max((s, -kind) for kind, s in enumerate(scores))
+        score, kind = self.known[key]
+        return score, -kind
 
 
 UNTRAINED = Model({}, [-20.0] * len(KINDS), -1.0)
 
 
-def decode(model: Model, candidates: list[list[list[str]]]) -> list[tuple[int, int, int]]:
-    """The best segments (first word, words, kind) of an island; candidates[i][k - 1]: features of the k words that end with i."""
-    n = len(candidates)
-    # best[i][e]: score of the first i words, where the last of them is outside (0) or ends an entity (1).
-    best, back = [[0.0, -math.inf]], [[None, None]]
-    for i in range(1, n + 1):
+def _candidates(text: str, words: list[tuple[int, int]]):
+    """For each word the features of the segments that end with it, by their number of words; one word's at a time."""
+    for i in range(len(words)):
+        row = []
+        for k in range(1, min(LONGEST, i + 1) + 1):
+            start, end = trimmed(text, words[i - k + 1][0], words[i][1])
+            row.append(features(text[start:end], k))
+        yield row
+
+
+def decode(model: Model, candidates) -> list[tuple[int, int, int]]:
+    """The best segments (first word, words, kind) of an island, of rows as ``_candidates`` gives them."""
+    # best[i]: scores of the first i words where the last of them is outside (0) or ends an entity (1).
+    best, back = [(0.0, -math.inf)], [(0, None)]
+    for i, row in enumerate(candidates, 1):
         prior = best[i - 1]
-        out = (max(prior), None)
         top, how = -math.inf, None
-        for k, own in enumerate(candidates[i - 1], 1):
+        for k, own in enumerate(row, 1):
             before = best[i - k]
             e = int(before[1] + model.adjoin > before[0])
-            start = before[e] + (model.adjoin if e else 0.0)
-            for kind in range(len(KINDS)):
-                s = start + model.score(kind, own)
-                if s > top:
-                    top, how = s, (k, kind, e)
-        best.append([out[0], top])
-        back.append([int(prior[1] > prior[0]), how])
-    found, i = [], n
-    e = int(best[n][1] > best[n][0])
+            score, kind = model.best(own)
+            s = before[e] + (model.adjoin if e else 0.0) + score
+            if s > top:
+                top, how = s, (k, kind, e)
+        best.append((max(prior), top))
+        back.append((int(prior[1] > prior[0]), how))
+    found, i = [], len(best) - 1
+    e = int(best[i][1] > best[i][0])
     while i:
         if e:
-            k, kind, e2 = back[i][1]
+            k, kind, e = back[i][1]
             found.append((i - k, k, kind))
-            i, e = i - k, e2
+            i -= k
         else:
             i, e = i - 1, back[i][0]
     return found[::-1]
 
 
-def _candidates(text: str, words: list[tuple[int, int]]) -> list[list[list[str]]]:
-    out = []
-    for i in range(len(words)):
-        row = []
-        for k in range(1, min(LONGEST, i + 1) + 1):
-            start, end = trimmed(text, words[i - k + 1][0], words[i][1])
-            row.append(features(text[start:end], k))
-        out.append(row)
-    return out
-
-
 def find(text: str | None, model: Model) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans, and those that the model adds beside them."""
     text = text or ""
@@ -225,9 +244,17 @@ class _Spans:
         return out
 
 
+def _spelt(address: str) -> str:
+    """An address in words; bracketed ones where its length is even."""
+    local, _, domain = address.partition("@")
+    at, dot = (" [at] ", " [dot] ") if len(address) % 2 == 0 else (" at ", " dot ")
+    return local + at + domain.replace(".", dot)
+
+
 def _examples(text: str):
     """Islands to learn from: candidate features, and the gold segments that base spans make, with and without what patterns ask for."""
     base = _Spans(base_spans(text))
+    whole = lambda words: [[0, len(words), 0]]
     for words in islands(text):
         if len(words) > ISLAND:
             continue
@@ -239,17 +266,27 @@ def _examples(text: str):
         gold.sort()
         if any(a[0] + a[1] > b[0] for a, b in zip(gold, gold[1:], strict=False)):
             continue
-        yield {"c": _candidates(text, words), "g": gold}
+        yield {"c": list(_candidates(text, words)), "g": gold}
+        if len(gold) == 1 and gold[0][1] == len(words) and 2 * len(words) <= ISLAND:
+            own = " ".join(text[a:b] for a, b in words)
+            twice = islands(f"{own} {own}")
+            if len(twice) == 1 and len(twice[0]) == 2 * len(words):
+                yield {"c": list(_candidates(f"{own} {own}", twice[0])), "g": [gold[0], [len(words), *gold[0][1:]]]}
         if any(g[2] == 3 for g in gold):
             plain = "".join(text[a:b].replace("+1", "").replace("+", "") + " " for a, b in words)
             moved = islands(plain)
             if len(moved) == 1 and len(words) - len(moved[0]) in (0, 1) and len(gold) == 1:
-                yield {"c": _candidates(plain, moved[0]), "g": [[0, len(moved[0]), 3]]}
+                yield {"c": list(_candidates(plain, moved[0])), "g": [[0, len(moved[0]), 3]]}
+        if len(words) == 1 and len(gold) == 1 and gold[0][2] == 0:
+            plain = _spelt(text[slice(*trimmed(text, *words[0]))])
+            moved = islands(plain)
+            if len(moved) == 1 and 5 <= len(moved[0]) <= LONGEST:
+                yield {"c": list(_candidates(plain, moved[0])), "g": whole(moved[0])}
 
 
 def fit(df: DataFrame, text_col: str = "text", most: int = TRAIN_DOCS) -> Model:
     """Learn the weights from a bounded sample of the texts."""
-    some = df.select(F.col(text_col).alias("text")).filter(F.col("text").rlike("[0-9@]"))
+    some = df.select(F.col(text_col).alias("text")).filter(F.col("text").rlike("[0-9@]"))  # base spans have one of these
     n = some.count()
     if n > most:
         some = some.filter(F.pmod(F.xxhash64("text", F.lit("train")), F.lit(1 << 40)) < int((1 << 40) * most / n))
@@ -262,6 +299,33 @@ def fit(df: DataFrame, text_col: str = "text", most: int = TRAIN_DOCS) -> Model:
     return _fit([(json.loads(r["island"]), r["count"]) for r in rows])
 
 
+def expectations(scores: list[list[np.ndarray]], adjoin: float) -> tuple[float, list[list[np.ndarray]], float]:
+    """Over all segmentations of an island: the log of the sum of their weights, the probability of each segment and kind, and the
+    expected number of segments that follow another. scores[i][k - 1]: those of the kinds of the k words that end with i."""
+    n = len(scores)
+    ahead = np.full((n + 1, 2), -np.inf)
+    ahead[0, 0] = 0
+    for i in range(1, n + 1):
+        ahead[i, 0] = np.logaddexp(*ahead[i - 1])
+        ends = [np.logaddexp(ahead[i - k, 0], ahead[i - k, 1] + adjoin) + np.logaddexp.reduce(s) for k, s in enumerate(scores[i - 1], 1)]
+        ahead[i, 1] = np.logaddexp.reduce(ends)
+    back = np.full((n + 1, 2), -np.inf)
+    back[n] = 0
+    for i in range(n - 1, -1, -1):
+        go = [np.logaddexp.reduce(scores[i + k - 1][k - 1]) + back[i + k, 1] for k in range(1, n - i + 1) if len(scores[i + k - 1]) >= k]
+        start = np.logaddexp.reduce(go)
+        back[i] = np.logaddexp(back[i + 1, 0], start), np.logaddexp(back[i + 1, 0], start + adjoin)
+    z, joins, out = np.logaddexp(*ahead[n]), 0.0, []
+    for i in range(1, n + 1):
+        out.append([])
+        for k, own in enumerate(scores[i - 1], 1):
+            before = np.logaddexp(ahead[i - k, 0], ahead[i - k, 1] + adjoin)
+            p = np.exp(np.minimum(0.0, before + own + back[i, 1] - z))
+            out[-1].append(p)
+            joins += p.sum() * np.exp(min(0.0, ahead[i - k, 1] + adjoin - before))
+    return float(z), out, float(joins)
+
+
 def _fit(rows: list[tuple[dict, int]], steps: int = 80, rate: float = 0.3, decay: float = 0.02) -> Model:
     """Adam on the conditional log likelihood; sums over segmentations by the forward-backward recursion over segments."""
     if not any(x["g"] for x, _ in rows):
@@ -280,31 +344,14 @@ def _fit(rows: list[tuple[dict, int]], steps: int = 80, rate: float = 0.3, decay
     for step in range(1, steps + 1):
         grad, grad_adjoin = -decay * w, -decay * adjoin
         for ids, gold, count in data:
-            n = len(ids)
-            scores = [[w[:, own].sum(axis=1) for own in row] for row in ids]
-            ahead = np.full((n + 1, 2), -np.inf)
-            ahead[0, 0] = 0
-            for i in range(1, n + 1):
-                ahead[i, 0] = np.logaddexp(*ahead[i - 1])
-                ends = [np.logaddexp(ahead[i - k, 0], ahead[i - k, 1] + adjoin[0]) + np.logaddexp.reduce(s) for k, s in enumerate(scores[i - 1], 1)]
-                ahead[i, 1] = np.logaddexp.reduce(ends)
-            back = np.full((n + 1, 2), -np.inf)
-            back[n] = 0
-            for i in range(n - 1, -1, -1):
-                go = [np.logaddexp.reduce(scores[i + k - 1][k - 1]) + back[i + k, 1] for k in range(1, min(LONGEST, n - i) + 1)]
-                start = np.logaddexp.reduce(go)
-                back[i] = np.logaddexp(back[i + 1, 0], start), np.logaddexp(back[i + 1, 0], start + adjoin[0])
-            z = np.logaddexp(*ahead[n])
             weight = count / total
-            for i in range(1, n + 1):
-                for k, own in enumerate(ids[i - 1], 1):
-                    before = np.logaddexp(ahead[i - k, 0], ahead[i - k, 1] + adjoin[0])
-                    p = np.exp(np.minimum(0.0, before + scores[i - 1][k - 1] + back[i, 1] - z))
+            _, expected, joins = expectations([[w[:, own].sum(axis=1) for own in row] for row in ids], adjoin[0])
+            for row, p_of in zip(ids, expected, strict=True):
+                for own, p in zip(row, p_of, strict=True):
                     grad[:, own] -= weight * p[:, None]
-                    grad_adjoin -= weight * p.sum() * np.exp(min(0.0, ahead[i - k, 1] + adjoin[0] - before))
             for first, k, kind in gold:
                 grad[kind, ids[first + k - 1][k - 1]] += weight
-            grad_adjoin += weight * sum(a[0] + a[1] == b[0] for a, b in zip(gold, gold[1:], strict=False))
+            grad_adjoin += weight * (sum(a[0] + a[1] == b[0] for a, b in zip(gold, gold[1:], strict=False)) - joins)
         for j, (value, g) in enumerate(((w, grad), (adjoin, grad_adjoin))):
             m[j] = 0.9 * m[j] + 0.1 * g
             v[j] = 0.99 * v[j] + 0.01 * g * g

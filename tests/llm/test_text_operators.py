@@ -166,6 +166,68 @@ def test_model_adds_what_patterns_merge(spark):
     assert all([s.kind for s in out[i].base] == ["phone"] for i in range(60))
 
 
+def segmentations(n, longest):
+    """All lists of (first, words, kind) of an island of n words."""
+    def go(i):
+        if i == n:
+            yield []
+            return
+        for rest in go(i + 1):
+            yield rest
+        for k in range(1, min(longest, n - i) + 1):
+            for rest in go(i + k):
+                for kind in range(len(pii.KINDS)):
+                    yield [(i, k, kind), *rest]
+
+    return list(go(0))
+
+
+@pytest.mark.parametrize("n", [1, 2, 4])
+def test_segments_by_brute_force(monkeypatch, n):
+    """The best segmentation, the partition sum and the probability of each segment, over all segmentations."""
+    import math
+
+    monkeypatch.setattr(pii, "LONGEST", 3)
+    rng = random.Random(n)
+    for _ in range(12):
+        names = [f"f{j}" for j in range(5)]
+        model = pii.Model({(kind, f): rng.gauss(0, 2) for kind in range(4) for f in names}, [rng.gauss(-1, 1) for _ in range(4)], rng.gauss(0, 2))
+        rows = [[rng.sample(names, 2) for _ in range(min(3, i + 1))] for i in range(n)]
+        score = lambda found: sum(model.scores(rows[a + k - 1][k - 1])[kind] for a, k, kind in found) + model.adjoin * sum(a[0] + a[1] == b[0] for a, b in zip(found, found[1:], strict=False))  # noqa: E731, B023
+        every = segmentations(n, 3)
+        assert math.isclose(score(pii.decode(model, rows)), max(map(score, every)), abs_tol=1e-9)
+        z, p, joins = pii.expectations([[np.array(model.scores(own)) for own in row] for row in rows], model.adjoin)
+        total = sum(math.exp(score(x)) for x in every)
+        assert math.isclose(z, math.log(total), abs_tol=1e-9)
+        for a, k, kind in {seg for x in every for seg in x}:
+            assert math.isclose(p[a + k - 1][k - 1][kind], sum(math.exp(score(x)) for x in every if (a, k, kind) in x) / total, abs_tol=1e-9)
+        assert math.isclose(joins, sum(math.exp(score(x)) * sum(s[0] + s[1] == t[0] for s, t in zip(x, x[1:], strict=False)) for x in every) / total, abs_tol=1e-9)
+
+
+def test_spelt_addresses_and_phones_without_plus(spark):
+    rng = random.Random(14)
+    texts = [f"mail {rng.choice('abc')}{i}.x@mail{i % 7}.example.com or" + " so" * (i % 2) for i in range(80)] + [f"call +1 ({rng.randint(100, 999)}) 555-{rng.randint(1000, 9999)} now" for i in range(80)]
+    texts += [f"in {rng.randint(1900, 2030)} for {rng.randint(1, 99)} days" for _ in range(80)]
+    new = ["write to jane.roe at mail dot example dot com today", "or joe [at] mail [dot] org, please", "we met at noon and the dot was red", "ring (212) 555-0188 soon"]
+    rows = spark.createDataFrame(list(enumerate([*texts, *new])), "doc_id long, text string").withColumns({"base": F.lit("clash"), "added": F.lit("clash")})
+    out = {r.id: r for r in pii.detect(rows, pii.fit(rows)).collect()}
+    got = [[(s.kind, t[s.start : s.end]) for s in out[len(texts) + i].added] for i, t in enumerate(new)]
+    assert got == [[("email", "jane.roe at mail dot example dot com")], [("email", "joe [at] mail [dot] org")], [], [("phone", "(212) 555-0188")]]
+
+
+def test_very_long_islands():
+    import time
+    import tracemalloc
+
+    model = pii._fit([({"c": [[["number", "digits<=10"]]], "g": [[0, 1, 3]]}, 3)], steps=3)
+    text = " ".join(str(i * 7919 % 100_000) for i in range(20_000))
+    tracemalloc.start()
+    begin = time.time()
+    pii.find(text, model)
+    assert tracemalloc.get_traced_memory()[1] < 16e6 and time.time() - begin < 60
+    tracemalloc.stop()
+
+
 def test_untrained_model_adds_nothing(docs):
     assert all(not r.added for r in pii.detect(docs, pii.fit(docs.limit(0))).collect())
 
