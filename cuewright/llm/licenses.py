@@ -5,6 +5,9 @@ templates, and term lists are joined to the templates' postings, so only shared
 threshold is a file's own licence, if the line's or paragraph's distinguishing terms (version, Affero, ND, clauses) agree. A directory's licence is that of its licence file, else nothing. A file without its own takes
 that of the nearest ancestor directory, found by joining the distinct directories' ancestors to the licensed ones.
 
+Lines that only speak of a licence that was or isn't given say nothing. A licence file is also compared as a whole, with the texts of
+licences that are short.
+
 Null texts and paths count as empty (no licence; the root directory); of several licence files in one directory the first by path
 counts; ties between templates go to the first by name; repeated rows are kept; an empty table gives an empty result; other
 columns are ignored.
@@ -70,6 +73,9 @@ TEMPLATES = (
     ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
     ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
     ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    # Whole texts of short licences.
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
 )
 
 _V = r"(?:version|v|gpl)[\s.-]*"
@@ -98,6 +104,10 @@ AGREES = {
     "MPL-2.0": ([r"mozilla|\bmpl", r"\b2\.0\b"], []),
     "Unlicense": ([r"unencumbered|unlicense"], []),
 }
+#: What a line says that only speaks of a licence that was, or isn't, given; in lower case.
+BARRED = r"\b(?:previously|formerly|no longer|not|never|once|until \d{4})\s+(?:\w+\s+){0,2}(?:released|licen[sc]ed|distributed|available|covered|under)\b|\b(?:now|is|are) proprietary\b"
+#: Characters of the longest line that is taken for such a remark.
+REMARK = 300
 #: The sentence that BSD licences share; the clauses of the whole text tell which it is.
 SHARED = r"redistribution and use in source and binary"
 CLAUSES = {"BSD-2-Clause": 2, "BSD-3-Clause": 3}
@@ -143,6 +153,7 @@ def own_licences(spark: SparkSession, segments: DataFrame, threshold: float = TH
     idf = F.broadcast(spark.createDataFrame(idf, "term string, idf double"))
     postings = F.broadcast(spark.createDataFrame(postings, "term string, template int, license string, weight double"))
     segments = segments.withColumn("low", F.regexp_replace(F.lower("segment"), r"\s+", " "))
+    segments = segments.filter((F.char_length("low") > REMARK) | ~F.col("low").rlike(BARRED))
     segments = segments.select("row", "at", "segment", agreeing(F.col("low"), clauses).alias("may"))
     bags = segments.select("row", "at", "may", F.explode(F.regexp_extract_all(F.lower("segment"), F.lit(TERM), F.lit(0))).alias("term")).groupBy("row", "at", "may", "term").count()
     weighted = bags.join(idf, "term", "left").withColumn("w", F.col("count") * F.coalesce("idf", F.lit(unknown)))
