@@ -21,6 +21,8 @@ from .common import settle, word_count
 
 #: Patterns and sources are planned on the driver; more of them than this is an error (they are aggregates, not rows).
 MAX_PATTERNS = 200_000
+#: Patterns that shared sources link into one flow: paths are searched one by one, so more than this is an error, too.
+MAX_LINKED = 3_000
 BINS = 10
 #: Rounds of bins; what shares all their bits (a billionth of a pattern's documents) is taken or left together.
 LEVELS = 3
@@ -66,6 +68,8 @@ def route(patterns: dict[tuple, int], targets: dict, passes: int = 2) -> dict[tu
         groups[root(p[0])].append(p)
     flow: dict[tuple, dict] = {p: {} for p in patterns}
     for group in groups.values():
+        if len(group) > MAX_LINKED:
+            raise ValueError(f"more than {MAX_LINKED} linked membership patterns")
         _cheapest(group, patterns, targets, passes, flow)
     return flow
 

@@ -283,6 +283,46 @@ def test_flow_of_overlapping_sources():
     assert sum(min(sum(f.values()), patterns[p]) for p, f in flow.items()) == 160
 
 
+def test_flow_by_brute_force():
+    """The most words, and of those the fewest second passes, over all ways to deal small patterns."""
+    import itertools
+
+    rng = random.Random(23)
+    for _ in range(60):
+        sources = "abc"[: rng.randint(1, 3)]
+        patterns = {}
+        for _ in range(rng.randint(1, 3)):
+            patterns[tuple(sorted(rng.sample(sources, rng.randint(1, len(sources)))))] = rng.randint(0, 3)
+        targets = {s: rng.randint(0, 6) for s in sources}
+        places = [(p, s) for p in patterns for s in p]
+        best = (0, 0)
+        for deal in itertools.product(*(range(min(2 * patterns[p], targets[s]) + 1) for p, s in places)):
+            of_p, of_s = dict.fromkeys(patterns, 0), dict.fromkeys(targets, 0)
+            for (p, s), n in zip(places, deal, strict=True):
+                of_p[p] += n
+                of_s[s] += n
+            if all(of_p[p] <= 2 * n for p, n in patterns.items()) and all(of_s[s] <= n for s, n in targets.items()):
+                best = max(best, (sum(deal), -sum(max(0, of_p[p] - n) for p, n in patterns.items())))
+        flow = mixing.route(patterns, targets)
+        given = {p: sum(f.values()) for p, f in flow.items()}
+        assert all(sum(f.get(s, 0) for f in flow.values()) <= n for s, n in targets.items()) and all(given[p] <= 2 * n for p, n in patterns.items())
+        assert (sum(given.values()), -sum(max(0, given[p] - n) for p, n in patterns.items())) == best
+
+
+def test_mix_of_overlapping_sources(spark):
+    """Documents of two sources serve the one that needs them, and words repeat only where quotas ask for it."""
+    rng = random.Random(29)
+    rows = [(i, prose(rng, rng.randint(5, 40)), [["a"], ["b"], ["b", "a", "a"], None][i % 4]) for i in range(400)] + [(900, "same text", ["a"])] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, sources array<string>").withColumns({"pattern": F.lit("clash"), "turn": F.lit("clash"), "size": F.lit("clash")})
+    sized = mixing.sized(docs, member_col="sources")
+    totals = {tuple(r.pattern): r["size"] for r in sized.groupBy("pattern").agg(F.sum("size").alias("size")).collect()}
+    targets = {"a": totals["a",] + totals["a", "b"] * 0.8, "b": totals["b",] * 0.5, None: totals[None,] * 1.5}
+    ends, _, _ = mixing.plan(sized, targets=targets)
+    got = {tuple(r.pattern): r.n for r in mixing.taken(sized, ends).groupBy("pattern").agg(F.sum(F.col("size") * F.col("copies")).alias("n")).collect()}
+    assert abs(got["a",] + got["a", "b"] + got["b",] - targets["a"] - targets["b"]) <= 120 and abs(got[None,] - targets[None]) <= 60
+    assert got["a",] <= totals["a",] and got["a", "b"] <= totals["a", "b"]  # nothing repeats where first passes do
+
+
 def test_mix_comes_near_targets_and_reruns_agree(tables):
     docs, _ = tables
     runs = []
@@ -321,6 +361,48 @@ def test_licences_and_inheritance(spark):
     assert licenses.scan(df.limit(0), F.col("path")).count() == 0
 
 
+def test_lines_about_other_times_say_nothing(spark):
+    texts = ["Previously released under the ISC License, now proprietary.", "This file is not licensed under the MIT License.", "No longer available under the Apache License, Version 2.0.", "Released under the MIT License."]
+    rows = spark.createDataFrame([(i, f"d{i}/x.py", t) for i, t in enumerate(texts)], "doc_id long, path string, text string")
+    assert {r.id: r.license for r in licenses.scan(rows, F.col("path")).collect()} == {0: None, 1: None, 2: None, 3: "MIT"}
+
+
+def test_inheritance_by_brute_force(spark):
+    """Random trees: the nearest ancestor directory with a licence file that says one; repeated rows and clashing columns too."""
+    rng = random.Random(18)
+    names = {"MIT": "Released under the MIT License.", "ISC": "Released under the ISC License.", "Apache-2.0": "Licensed under the Apache License, Version 2.0.", None: "All about nothing."}
+    rows = []
+    for i in range(150):
+        folder = "/".join(rng.choice("ab") for _ in range(rng.randint(0, 4)))
+        own = rng.choice([None, None, None, *names])
+        rows.append((i, f"{folder}/{'COPYING' if rng.random() < 0.2 else 'f'}{i}".lstrip("/"), names[own], own))
+    rows += rows[:10]
+    df = spark.createDataFrame([r[:3] for r in rows], "doc_id long, path string, text string").withColumns({"license": F.lit("clash"), "folder": F.lit("clash"), "row": F.lit("clash")})
+    at = lambda path: path.rpartition("/")[0]
+    given = {}
+    for _, path, _, own in sorted(rows, key=lambda r: r[1], reverse=True):
+        if path.rpartition("/")[2].startswith("COPYING") and own:
+            given[at(path)] = own
+
+    def inherited(folder):
+        while folder not in given:
+            if not folder:
+                return None, None
+            folder = at(folder)
+        return given[folder], folder
+
+    out = licenses.scan(df, F.col("path")).collect()
+    assert len(out) == len(rows)
+    want = {i: (own, None) if own else inherited(at(path)) for i, path, _, own in rows}
+    assert {r.id: (r.license, r.from_directory) for r in out} == want
+
+
+def test_ties_between_templates_go_to_the_first(spark):
+    same = (("Z", "granted alike"), ("A", "granted alike"))
+    rows = spark.createDataFrame([(0, 0, "granted alike"), (1, 0, "granted alike " * 20_000)], "row long, at int, segment string")
+    assert {r.row: r.license for r in licenses.own_licences(spark, rows, templates=same).collect()} == {0: "Z", 1: "Z"}
+
+
 def test_cosine_by_brute_force(spark):
     import math
     from collections import Counter
