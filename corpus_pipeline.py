@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cuewright.llm import byte_bpe, mixing, secrets, simhash, toxicity
-from cuewright.llm.common import read, settle, shared_dir
+from cuewright.llm.common import drop, read, settle, shared_dir
 
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
@@ -71,10 +71,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to documents; each one's rows are written to the shared folder and read again."""
-    docs, at = read(spark, sf_dir, "documents"), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    """Apply the stages to documents; each one's rows are written to the shared folder and read again. What a stage has read goes
+    once it is through; the last one's table stays for the caller."""
+    docs, at, before = read(spark, sf_dir, "documents"), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}", None
     for name, stage in STAGES:
         path = f"{at}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            drop(spark, before)
+        before = path
     return docs
