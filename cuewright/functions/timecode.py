@@ -36,7 +36,8 @@ def seconds_lenient(ts: Column | str) -> Column:
     """Whole seconds of H:M:S[.fraction] with point or comma; any numbers; further parts are ignored; else null."""
     parts = F.split(F.replace(col(ts), F.lit(","), F.lit(".")), ":")
     last = F.substring_index(F.get(parts, F.lit(2)), ".", 1)
-    return whole(F.get(parts, F.lit(0))) * 3600 + whole(F.get(parts, F.lit(1))) * 60 + whole(last)
+    hours, minutes = (F.try_multiply(whole(F.get(parts, F.lit(i))), F.lit(unit)) for i, unit in ((0, 3600), (1, 60)))
+    return F.try_add(F.try_add(hours, minutes), whole(last))  # what no number holds is no time
 
 
 def with_hours(ts: Column | str) -> Column:

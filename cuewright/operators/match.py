@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from ..functions.timecode import millis_strict, seconds_lenient
 
-#: Seconds of a bucket of time.
-BUCKET = 64
+#: Seconds of a bucket of time, and buckets up to which a cue is dealt to each of its own.
+BUCKET, BUCKETS = 64, 16
+#: The place of longer cues; no time has this bucket.
+LONG = -(1 << 62)
 
 
 def cues_of(lines: DataFrame, strict: bool = False) -> DataFrame:
@@ -33,11 +35,17 @@ def entries_of(scene_map: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def interval_pairs(cues: DataFrame, entries: DataFrame, on: list[str] | None = None, bucket: int = BUCKET) -> DataFrame:
-    """All pairs of a cue and an entry in its closed interval: an equi-join on the keys and a bucket of time, so long videos spread."""
+    """All pairs of a cue and an entry in its closed interval: an equi-join on the keys and a bucket of time, so long videos spread.
+
+    A cue over more than ``BUCKETS`` buckets stands once, in a place (``LONG``) that every entry of its video is dealt to, too.
+    """
     on = on or ["video_id"]
     spans = cues.filter(F.col("start_t") <= F.col("end_t"))
-    wide = spans.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("start_t") / bucket), F.floor(F.col("end_t") / bucket))))
-    points = entries.filter(F.col("t").isNotNull()).withColumn("bucket", F.floor(F.col("t") / bucket))
+    first, last = F.floor(F.col("start_t") / bucket), F.floor(F.col("end_t") / bucket)
+    usual = last - first < BUCKETS
+    own = F.when(usual, F.sequence(first, F.when(usual, last).otherwise(first))).otherwise(F.array(F.lit(LONG)))
+    wide = spans.withColumn("bucket", F.explode(own))
+    points = entries.filter(F.col("t").isNotNull()).withColumn("bucket", F.explode(F.array(F.floor(F.col("t") / bucket), F.lit(LONG))))
     return wide.join(points, [*on, "bucket"]).filter(F.col("t").between(F.col("start_t"), F.col("end_t"))).drop("bucket")
 
 

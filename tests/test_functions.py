@@ -64,3 +64,9 @@ def test_names(spark):
 @pytest.mark.parametrize(("url", "v"), [("https://www.youtube.com/watch?v=abc_-1&t=2", "abc_-1"), ("https://youtu.be/xyz?si=1", "xyz"), ("https://youtube.com/shorts/q1", "q1"), ("https://example.com/", None)])
 def test_video_id_of(spark, url, v):
     assert one(spark, text.video_id_of("u"), u=url) == v
+
+
+def test_numbers_beyond_all_bounds_are_no_times(spark):
+    for ts in ("9999999999999999:00:00", "9223372036854775807:59:59", "00:999999999999999999:00"):
+        assert one(spark, timecode.in_block_lenient("t", "a", "b"), t=ts, a="00:00:00", b="00:00:09") is False
+        assert one(spark, timecode.seconds_lenient("t"), t=ts) is None

@@ -165,3 +165,15 @@ def test_providers(spark):
 def test_partition_of_frames(spark):
     got = scenes.segment(frames(spark)).select(F.explode("frames").alias("k")).collect()
     assert sorted(r.k for r in got) == [k for k, _ in FRAMES]
+
+
+def test_long_cues_stand_once(spark):
+    """A cue of very many hours is neither an error nor millions of rows, and pairs are those of a comparison of all."""
+    from cuewright.operators import match
+
+    cues = [("v", "f", 1, 0, 10**11), ("v", "f", 2, 50, 70), ("v", "f", 3, 9, 4), ("w", "f", 1, 0, 5_000), ("v", "f", 4, None, 3)]
+    entries = [("v", p, t) for p, t in enumerate((0, 63, 64, 70, 71, 4_000, 10**11, None))] + [("w", 0, 5_000), ("w", 1, 5_001)]
+    a = spark.createDataFrame(cues, "video_id string, file_name string, line_no long, start_t long, end_t long")
+    b = spark.createDataFrame(entries, "video_id string, pos long, t long")
+    got = sorted((r.video_id, r.line_no, r.pos) for r in match.interval_pairs(a, b).collect())
+    assert got == sorted((v, n, p) for v, _, n, s, e in cues for w, p, t in entries if v == w and None not in (s, t) and s <= t <= e)
