@@ -24,9 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import append_columns, settle
+from .common import append_columns, settle, tidy
 
 RADIUS = 2
 BITS = 64
@@ -39,9 +38,9 @@ SLICE = 50_000
 #: Words of the shingles that similarity is measured on.
 WORDS = 5
 #: Least shingles that a text is keyed by, and those of them that the first round uses, whose large shards it searches in blocks.
-KEYS, USED, MEMBERS = 16, 4, 300
-#: Documents of several components from which a shingle is common, and the share of common ones from which a text is keyed by its whole prefix.
-COMMON, SHARE = 500, 0.4
+KEYS, USED, MEMBERS = 24, 4, 300
+#: Components from which a shingle is common, the share of common ones from which a text is keyed by its whole prefix, and members of a block.
+COMMON, SHARE, BLOCK = 500, 1 / 3, 2_000
 #: Bits of the widest bitmap of a set.
 WIDEST = 8_192
 #: Rows (a document's place in a shard, a shingle) up to which a table is sent to every task; larger ones are joined by a shuffle.
@@ -298,11 +297,12 @@ def similar(docs: DataFrame, rows: DataFrame, similarity: float, known_links: Da
 
     By any one order of the shingles, two similar sets have one in common among the first few (``prefix``). A first round deals the
     distinct sets by their four least hashes and connects most of what is similar. A second one looks at what is left: shingles of
-    documents that aren't connected yet, where those that many of these have stand last in the order, so that documents which share
-    passages don't meet for that. A text whose shingles are mostly common ones is keyed by its whole prefix, any other by ``keys`` of
-    it: two sets of similarity 0.8 or more share none of 16 with a chance below 10^-9. ``keys=None`` takes whole prefixes, which
-    leaves nothing to chance. Shards of common shingles are compared in pairs of blocks, but none that lies in one component.
-    Comparisons rule out by size and bitmap only what can't be similar, and are exact on the rest.
+    documents that aren't connected yet, where those that many components have stand last in the order, so that documents which
+    share passages don't meet for that. A text with many common shingles is keyed by its whole prefix, any other by what isn't
+    common of its 24 least: two sets of similarity 0.8 or more then share none with a chance of 10^-8 or less, if rare and common
+    shingles are alike in both. ``keys=None`` takes whole prefixes, which leaves nothing to chance. Shards of common shingles are
+    compared in pairs of blocks, but none that lies in one component. A pair is compared under its first shared key only;
+    comparisons rule out by size and bitmap what can't be similar, and are exact on the rest.
     """
     rest = F.struct(F.col("id").isNull().alias("none"), "id", "size", "map", "keys")
     rows = rows.withColumnRenamed("fingerprint", "node")
@@ -310,23 +310,42 @@ def similar(docs: DataFrame, rows: DataFrame, similarity: float, known_links: Da
     nodes = rows.filter("size > 0").select("digest", F.col("node").alias("a")).distinct()
     same = nodes.join(one.select("digest", F.col("node").alias("b")), "digest").filter("a <> b").select("a", "b")
 
-    least = one.select("digest", F.explode(F.slice("keys", 1, USED)).alias("key"))
+    least = one.select("digest", F.posexplode(F.slice("keys", 1, USED)).alias("place", "key"))
     counts = settle(least.groupBy("key").count().filter("count > 1"))
-    block = F.when(F.col("count") > MEMBERS, F.pmod(F.xxhash64("digest", "key"), F.ceil(F.col("count") / MEMBERS))).otherwise(0)
-    met = least.join(counts, "key").select("digest", "key", block.cast("long").alias("block"))
-    payload = ["digest", "id", "node", "size", "map"]
-    links = settle(_compared(docs, met.join(one.select(*payload, F.col("node").alias("root")), "digest"), similarity, words).unionByName(same))
+    met = settle(least.join(counts, "key"))
+    whole = F.col("count") <= MEMBERS
+    order = F.array_sort(F.collect_list(F.when(whole, F.struct("place", "key"))))
+    lists = met.groupBy("digest").agg(F.transform(order, lambda x: x["key"]).alias("keys"))
+    block = F.when(whole, 0).otherwise(F.pmod(F.xxhash64("digest", "key"), F.ceil(F.col("count") / MEMBERS)))
+    met = met.select("digest", "key", block.cast("long").alias("block")).join(lists, "digest").join(one.select("digest", F.col("node").alias("root"), "size", "map"), "digest")
+    links = settle(_compared(docs, one, met, similarity, words).unionByName(same))
 
     roots = components(links.unionByName(known_links))
     base = settle(one.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    each = base.select("digest", "root", F.explode("keys").alias("key"))
-    between = lambda some: settle(some.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key", "n"))
-    shared = between(each)
-    hot = settle(shared.filter(F.col("n") > COMMON).select("key"))
+    lists = base.select("digest", "root", "keys")
+    shared = _shared(lists)
+    hot = _common(lists, shared)
     if not hot.isEmpty():
-        each, shared = _rare_first(docs, base, each, hot, similarity, words, keys, between)
-    met = _blocks(each.join(shared, "key"))
-    return links.unionByName(_compared(docs, met.join(base.select(*payload), "digest"), similarity, words))
+        lists = _rare_first(docs, base, hot, similarity, words, keys)
+        shared = _shared(lists)
+    met = _blocks(_each(lists).join(shared, "key"))
+    return links.unionByName(_compared(docs, one, met.join(lists.select("digest", "keys"), "digest").join(base.select("digest", "size", "map"), "digest"), similarity, words))
+
+
+def _each(lists: DataFrame) -> DataFrame:
+    return lists.select("digest", "root", F.explode("keys").alias("key"))
+
+
+def _shared(lists: DataFrame) -> DataFrame:
+    """The keys that documents of several components have, with the number n of those documents."""
+    return settle(_each(lists).groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key", "n"))
+
+
+def _common(lists: DataFrame, shared: DataFrame) -> DataFrame:
+    """The keys that more than ``COMMON`` components have."""
+    some = settle(shared.filter(F.col("n") > COMMON).select("key"))
+    roots = _each(lists).join(_sent(some, some.count()), "key").select("key", "root").distinct()
+    return settle(roots.groupBy("key").count().filter(F.col("count") > COMMON).select("key"))
 
 
 def _sent(df: DataFrame, rows: int) -> DataFrame:
@@ -341,31 +360,58 @@ def _fetched(docs: DataFrame, wanted: DataFrame, rows: int) -> DataFrame:
     return docs.join(_sent(wanted, rows), F.col("id").eqNullSafe(F.col("of")))
 
 
-def _rare_first(docs, base, each, hot, similarity, words, keys, between) -> tuple[DataFrame, DataFrame]:
-    """Keys (digest, root, key) by the order that has common shingles last, and the keys that documents of several components have.
+def _rare_first(docs: DataFrame, base: DataFrame, hot: DataFrame, similarity: float, words: int, keys: int | None) -> DataFrame:
+    """Keys of each digest (digest, root, keys) by the order that has common shingles last.
 
-    Common is what is hot among the keys, and then what more than ``COMMON`` of the documents have that have something common; until no
-    more documents have. A document that has nothing common among its keys keeps them.
+    Common is what is hot among the keys, and then what more than ``COMMON`` of those texts have that have much in common, until no
+    more texts have. Of those texts the sets are fetched; any other keeps what isn't common of its least shingles, in their order.
     """
-    held = None
+    held, each = None, _each(base)
     while True:
-        some = each.join(_sent(hot, hot.count()), "key", "left_semi").select("digest").distinct()
+        gone = each.join(_sent(hot, hot.count()), "key").groupBy("digest").agg(F.collect_set("key").alias("gone"))
+        gone = settle(gone.join(base.select("digest", "id", "root", "size", "keys"), "digest"))
+        much = (F.size("gone") > SHARE * F.size("keys")) if keys else F.lit(True)
+        much |= F.size("keys") < (keys or 0)  # a whole prefix, which has to stay one
+        some = gone.filter(much).select("id", "digest", "root", "size")
         some = settle(some if held is None else some.join(held, "digest", "left_anti"))
         if some.isEmpty():
             break
-        new = settle(_sets(docs, settle(base.join(some, "digest").select("id", "digest", "root", "size")), words))
+        new = settle(_sets(docs, some, words))
         held = new if held is None else settle(held.unionByName(new))
         often = held.select(F.explode("set").alias("key")).groupBy("key").count().filter(F.col("count") > COMMON).select("key")
         hot = settle(hot.unionByName(often).distinct())
+    left = base.join(gone.select("digest", "gone"), "digest", "left")
+    left = left.select("digest", "root", F.when(F.col("gone").isNull(), F.col("keys")).otherwise(F.array_except("keys", "gone")).alias("keys"))
+    if held is None:
+        return settle(left)
+    placed = _placed(held, hot, similarity, keys)
+    return settle(left.join(held.select("digest"), "digest", "left_anti").unionByName(placed))
+
+
+def _placed(held: DataFrame, hot: DataFrame, similarity: float, keys: int | None) -> DataFrame:
+    """The first keys of each set, what isn't common first; up to ``HASHES`` common shingles go to every task, more are joined."""
+    if hot.count() <= HASHES:
+        common = np.sort(np.array([r.key for r in hot.collect()], dtype=np.int64))
+        sent = held.sparkSession.sparkContext.broadcast(common)
+
+        def run(sets):
+            out = []
+            for own in sets:
+                own = np.array(own, dtype=np.int64)
+                is_common = np.isin(own, sent.value, assume_unique=True)
+                whole = prefix(len(own), similarity)
+                few = whole if keys is None or is_common.sum() >= SHARE * len(own) else min(whole, keys)
+                out.append(np.concatenate((np.sort(own[~is_common]), np.sort(own[is_common])))[:few])
+            return [out]
+
+        return append_columns(held, ["set"], ["digest", "root"], [("keys", T.ArrayType(T.LongType()))], lambda: run)
     # Dealt by digest while it is one row, not a row a shingle.
-    marked = held.repartition("digest").select("digest", "root", "size", F.explode("set").alias("key")).join(_sent(hot.withColumn("common", F.lit(True)), hot.count()), "key", "left")
+    marked = held.repartition("digest").select("digest", "root", "size", F.explode("set").alias("key")).join(hot.withColumn("common", F.lit(True)), "key", "left")
     order = F.array_sort(F.collect_list(F.struct(F.coalesce("common", F.lit(False)).alias("common"), "key")))
     whole = (F.col("size") - F.ceil(similarity * F.col("size") - 1e-9) + 1).cast("int")
     few = whole if keys is None else F.when(F.col("n") >= SHARE * F.col("size"), whole).otherwise(F.least(whole, F.lit(keys)))
     placed = marked.groupBy("digest", "root", "size").agg(order.alias("all"), F.count("common").alias("n"))
-    more = placed.select("digest", "root", F.explode(F.slice("all", F.lit(1), few)).alias("x")).select("digest", "root", "x.key")
-    each = settle(each.join(held.select("digest"), "digest", "left_anti").unionByName(more))
-    return each, between(each)
+    return placed.select("digest", "root", F.transform(F.slice("all", F.lit(1), few), lambda x: x["key"]).alias("keys"))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -384,15 +430,15 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
-    """(digest, root, key, block) of rows with the number n of their key's; a large shard goes in pairs of blocks of ``COMMON``, except pairs that lie in one component."""
-    whole = rows.filter(F.col("n") <= 2 * COMMON).select("digest", "root", "key", F.lit(0).cast("long").alias("block"))
-    large = rows.filter(F.col("n") > 2 * COMMON)
+    """(digest, root, key, block) of rows with the number n of their key's; a large shard goes in pairs of blocks, except pairs that lie in one component."""
+    whole = rows.filter(F.col("n") <= BLOCK).select("digest", "root", "key", F.lit(0).cast("long").alias("block"))
+    large = rows.filter(F.col("n") > BLOCK)
     crowds = settle(large.groupBy("key", "root").count())
     if crowds.isEmpty():
         return whole
     large = large.join(crowds, ["key", "root"])
-    crowd = F.col("count") > COMMON
-    own = F.when(crowd, F.xxhash64("root", F.pmod(F.xxhash64("digest"), F.ceil(F.col("count") / COMMON)))).otherwise(F.pmod(F.xxhash64("root"), F.ceil(F.col("n") / COMMON)))
+    crowd = F.col("count") > BLOCK
+    own = F.when(crowd, F.xxhash64("root", F.pmod(F.xxhash64("digest"), F.ceil(F.col("count") / BLOCK)))).otherwise(F.pmod(F.xxhash64("root"), F.ceil(F.col("n") / BLOCK)))
     large = large.select("digest", "root", "key", own.alias("own"), F.when(crowd, F.col("root")).alias("of"))
     labels = settle(large.select("key", F.col("own").alias("other"), F.col("of").alias("other_of")).distinct())
     apart = F.coalesce(F.col("of") != F.col("other_of"), F.lit(True)) & ((F.col("own") != F.col("other")) | F.col("of").isNull())
@@ -415,35 +461,44 @@ def _groups(batches, keys: list[str], values: list[str]):
         yield now, held
 
 
-def _compared(docs: DataFrame, members: DataFrame, similarity: float, words: int) -> DataFrame:
-    """Links between members (digest, id, node, size, map, root) of a block of a key that connect what is similar of different roots.
+def _compared(docs: DataFrame, one: DataFrame, members: DataFrame, similarity: float, words: int) -> DataFrame:
+    """Links that connect what is similar of different roots among members (digest, root, size, map, keys) of a block of a key.
 
-    Shards are gathered as sorted rows, not as lists in a row. Sets are fetched of those only that a bitmap doesn't rule out.
+    ``keys``: a member's keys, in the order of all, whose shards are compared whole; a pair that has one in common before this one has
+    met there. Shards are gathered as sorted rows, not as lists in a row. Sets are fetched of those only that a bitmap doesn't rule out.
     """
-    kind = docs.schema["id"].dataType
     sort = lambda df: df.repartition("key", "block").sortWithinPartitions("key", "block")
-    held = ["of", "node", "digest", "root", "size", "map"]
 
     def near(batches):
         out = []
 
         def packed():
-            columns = list(zip(*out, strict=True)) if out else [[]] * 6
-            return pa.RecordBatch.from_arrays([pa.array(list(c), type=t) for c, t in zip(columns, types, strict=True)], names=["key", "block", "of", "node", "digest", "root"])
-
-        types = [pa.int64(), pa.int64(), to_arrow_type(kind), *[pa.int64()] * 3]
-        for key, rows in _groups(batches, ["key", "block"], held):
-            if len(rows) > 1:
-                hit = set()
-                for i, others in near_pairs([r[5] for r in rows], [r[4] for r in rows], [r[3] for r in rows], similarity):
-                    hit |= {i, *others}
-                out += [(*key, *rows[i][:4]) for i in sorted(hit)]
-                if len(out) > 10_000:
-                    yield packed()
-                    out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [[]] * 4)], names=["key", "block", "digest", "root"])
+
+        for key, rows in _groups(batches, ["key", "block"], ["digest", "root", "size", "map", "keys"]):
+            if len(rows) < 2:
+                continue
+            hit, before = set(), {}
+
+            def earlier(i):
+                if i not in before:
+                    own = rows[i][4]  # noqa: B023
+                    before[i] = frozenset(own[: own.index(key[0])] if key[0] in own else own)  # noqa: B023
+                return before[i]
+
+            for i, others in near_pairs([r[3] for r in rows], [r[2] for r in rows], [r[1] for r in rows], similarity):
+                new = [j for j in others if earlier(i).isdisjoint(earlier(j))]
+                if new:
+                    hit |= {i, *new}
+            out += [(*key, *rows[i][:2]) for i in sorted(hit)]
+            if len(out) > 10_000:
+                yield packed()
+                out.clear()
         yield packed()
+        tidy()
 
-    found = sort(members.select("key", "block", F.col("id").alias("of"), "node", "digest", "root", "size", "map")).mapInArrow(near, T.StructType([T.StructField("key", T.LongType()), T.StructField("block", T.LongType()), T.StructField("of", kind), *(T.StructField(c, T.LongType()) for c in ("node", "digest", "root"))]))
+    found = sort(members.select("key", "block", "digest", "root", "size", "map", "keys")).mapInArrow(near, "key long, block long, digest long, root long")
+    found = settle(found).join(one.select("digest", F.col("id").alias("of"), "node"), "digest")
     wanted = settle(found.groupBy("of").agg(F.collect_set(F.struct("key", "block", "node", "digest", "root")).alias("shards")))
     places = wanted.agg(F.sum(F.size("shards"))).head()[0] or 0
 

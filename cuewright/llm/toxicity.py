@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import append_columns, held, settle
+from .common import append_columns, held, settle, tidy
 
 #: Labelled documents that the model is fitted to, at most (chosen by a hash of the id).
 TRAIN_DOCS = 10_000
@@ -202,7 +202,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # Bounded: a sample of documents, and of each the tokens with evidence.
     rows = sample.mapInArrow(events, "label int, at array<int>, own array<array<int>>, n int").collect()
     names = list(forms_of)
-    return _fit_chain(rows, names, {forms_of[f] for f in strong})
+    model = _fit_chain(rows, names, {forms_of[f] for f in strong})
+    tidy()
+    return model
 
 
 def _fit_chain(rows, names: list[str], strong: set[int], steps: int = 150, rate: float = 0.15, decay: float = 1e-2, around: int = 2) -> Model:
@@ -222,11 +224,14 @@ def _fit_chain(rows, names: list[str], strong: set[int], steps: int = 150, rate:
                 tail = min(around, r.n - place - 1)
                 chains[-1][0].extend([] for _ in range(tail))
                 chains[-1][1].extend([0] * tail)
+    total = len(chains)
+    # Equal windows are held once, with their number.
+    often = Counter((tuple(map(tuple, tokens)), (*truth, *[0] * (len(tokens) - len(truth)))) for tokens, truth in chains)
+    chains, times = [(tokens, list(truth)) for tokens, truth in often], np.array(list(often.values()), dtype=np.float64)
     n, longest = len(chains), max(len(c[0]) for c in chains)
     label, mask = np.zeros((n, longest), dtype=np.int8), np.zeros((n, longest))
     hit_c, hit_t, hit_f = [], [], []
     for c, (tokens, truth) in enumerate(chains):
-        truth += [0] * (len(tokens) - len(truth))
         label[c, : len(tokens)], mask[c, : len(tokens)] = truth, 1
         for t, own in enumerate(tokens):
             hit_c += [c] * len(own)
@@ -239,11 +244,11 @@ def _fit_chain(rows, names: list[str], strong: set[int], steps: int = 150, rate:
     state = np.zeros((2, k + 5))
     before = np.concatenate((np.zeros((n, 1), dtype=np.int8), label[:, :-1]), axis=1)
     seen = np.zeros(k + 5)
-    np.add.at(seen, hit_f, label[hit_c, hit_t])
-    seen[k] = (label * mask).sum()
+    np.add.at(seen, hit_f, label[hit_c, hit_t] * times[hit_c])
+    seen[k] = (label * mask * times[:, None]).sum()
     for i in (0, 1):
         for j in (0, 1):
-            seen[k + 1 + 2 * i + j] = ((before == i) & (label == j) & (mask > 0)).sum()
+            seen[k + 1 + 2 * i + j] = (((before == i) & (label == j) & (mask > 0)) * times[:, None]).sum()
     for step in range(1, steps + 1):
         emit = np.full((n, longest), w[k])
         np.add.at(emit, (hit_c, hit_t), w[hit_f])
@@ -264,15 +269,15 @@ def _fit_chain(rows, names: list[str], strong: set[int], steps: int = 150, rate:
             out = back * np.stack((np.ones(n), emit[:, t]), axis=1)
             pair = prior[:, :, None] * move[None] * out[:, None, :]
             pair /= pair.sum(axis=(1, 2), keepdims=True)
-            pair *= live[:, None, None]
+            pair *= (live * times)[:, None, None]
             want[:, t] = pair[:, :, 1].sum(axis=1)
             grad[k + 1 :] -= pair.sum(axis=0).ravel()
             new = out @ move.T
             back = np.where(live[:, None], new / new.sum(axis=1, keepdims=True), back)
         np.add.at(grad, hit_f, -want[hit_c, hit_t])
         grad[k] -= want.sum()
-        grad += seen - decay * len(chains) ** 0.5 * w
-        grad /= n
+        grad += seen - decay * total**0.5 * w
+        grad /= total
         state[0] = 0.9 * state[0] + 0.1 * grad
         state[1] = 0.99 * state[1] + 0.01 * grad * grad
         w += rate * (state[0] / (1 - 0.9**step)) / (np.sqrt(state[1] / (1 - 0.99**step)) + 1e-8)

@@ -197,11 +197,13 @@ def similar_components(spark, texts, keys):
     return {r.id: r.component_id for r in simhash.near_duplicates(rows, similarity=0.8, keys=keys).collect()}
 
 
-@pytest.mark.parametrize(("members", "common", "keys"), [(300, 500, simhash.KEYS), (4, 6, simhash.KEYS), (4, 6, None), (2, 1, None)])
-def test_similar_documents_are_linked(spark, monkeypatch, members, common, keys):
+@pytest.mark.parametrize(("members", "common", "keys", "hashes"), [(300, 500, simhash.KEYS, 9_000), (4, 6, simhash.KEYS, 9_000), (2, 1, None, 9_000), (2, 1, None, 0)])
+def test_similar_documents_are_linked(spark, monkeypatch, members, common, keys, hashes):
     """By brute force; with small bounds all shingles of the copies count as common, and shards go in pairs of blocks."""
+    monkeypatch.setattr(simhash, "HASHES", hashes)
     monkeypatch.setattr(simhash, "MEMBERS", members)
     monkeypatch.setattr(simhash, "COMMON", common)
+    monkeypatch.setattr(simhash, "BLOCK", 2 * common)
     rng = random.Random(members + common)
     texts = []
     for _ in range(10):
@@ -225,6 +227,7 @@ def test_lone_pairs_among_many_that_share_a_passage(spark, monkeypatch, common,
     """Most shingles of a text come from the passage, so all of those are common."""
     monkeypatch.setattr(simhash, "MEMBERS", 4)
     monkeypatch.setattr(simhash, "COMMON", common)
+    monkeypatch.setattr(simhash, "BLOCK", 2 * common)
     rng = random.Random(21)
     passage, texts = prose(rng, 300), []
     for i in range(40):
