@@ -31,6 +31,8 @@ from .common import append_columns, drop, held, settle, shared_dir
 #: Words that a worker remembers.
 REMEMBERED = 400_000
 LIMIT = 2_048
+#: Digests that have no count yet, up to which they are sent to every task.
+SENT = 100_000
 # Texts whose words can be counted apart: no control characters (which some white space classes take in), no dotted capital I,
 # nothing beyond U+024F and no special string.
 _OTHER = re.compile("[\x00-\x08\x0e-\x1f\x7f-\xa0İ]|[^\x00-ɏ]|<\\|")
@@ -135,7 +137,15 @@ def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     docs = df.select(F.col(id_col).alias("id"), F.octet_length(raw).cast("long").alias("n_bytes"), (normalised(raw) if drops_case_and_space(path) else raw).alias("text"))
     docs = docs.withColumn("digest", F.unhex(F.sha2("text", 256)))
     # The first of equal contents is found before the shuffle and after it, so one goes over the network once a task at most.
-    misses = docs.select("digest", "text").join(_stored(spark, cache, tokenizer), "digest", "left_anti").dropDuplicates(["digest"])
+    misses, known = docs.select("digest", "text"), _stored(spark, cache, tokenizer)
+    if known.isEmpty():
+        misses = misses.dropDuplicates(["digest"])
+    else:
+        new = settle(docs.select("digest").distinct().join(known, "digest", "left_anti"))
+        if new.count() <= SENT:  # so contents that are known stay where they are
+            misses = misses.join(F.broadcast(new), "digest", "left_semi").dropDuplicates(["digest"])
+        else:
+            misses = misses.dropDuplicates(["digest"]).join(new, "digest", "left_semi")
 
     def make():
         work = counter(path).count
