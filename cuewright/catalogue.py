@@ -450,7 +450,7 @@ def frame_text(spark, sf_dir):
 @register(
     "batch_prompt_text",
     _with(_INDEX, _ANALYSIS, _LEFT, _BATCH, _LAST)
-    + f"SELECT b.video_id, '{render.BATCH_HEAD}' || chr(10) || chr(10) || 'Previous frame description: ' || coalesce(nullif(any_value(p.previous_description), ''), 'None (this is the first frame)') || chr(10) || chr(10) || 'Frames to analyze:' || chr(10) || string_agg('- ' || b.frame_key || ': ' || b.frame_path, chr(10) ORDER BY b.frame_key) AS prompt FROM bt b LEFT JOIN pd p ON p.video_id = b.video_id GROUP BY b.video_id",
+    + f"SELECT b.video_id, '{render.BATCH_HEAD}' || chr(10) || chr(10) || '{render.BEFORE}' || coalesce(nullif(any_value(p.previous_description), ''), '{render.FIRST}') || chr(10) || chr(10) || '{render.LISTED}' || chr(10) || string_agg('- ' || b.frame_key || ': ' || b.frame_path, chr(10) ORDER BY b.frame_key) AS prompt FROM bt b LEFT JOIN pd p ON p.video_id = b.video_id GROUP BY b.video_id",
 )
 def batch_prompt_text(spark, sf_dir):
     return render.batch_prompt(_batch(spark, sf_dir), backlog.previous_description(fx.index(spark, sf_dir), fx.annotations(spark, sf_dir)))
@@ -463,7 +463,7 @@ def batch_prompt_text(spark, sf_dir):
         _FLAGS,
         _SCENES,
         "sp AS (SELECT *, list_filter(deltas, lambda x: lower(x) NOT IN ('no change', 'scene start')) AS m FROM st)",
-        "pp AS (SELECT video_id, scene_no, chr(10) || '[' || start_ts || ' --> ' || end_ts || ']' || chr(10) || 'First frame: ' || first_description || chr(10) || 'Changes (' || len(m) || '):' || coalesce(array_to_string(list_transform(m[1:20], lambda x: chr(10) || '  - ' || x), ''), '') || CASE WHEN len(m) > 20 THEN chr(10) || '  ... and ' || (len(m) - 20) || ' more changes' ELSE '' END AS part FROM sp)",
+        "pp AS (SELECT video_id, scene_no, chr(10) || '[' || start_ts || ' --> ' || end_ts || ']' || chr(10) || 'First frame: ' || first_description || chr(10) || 'Changes (' || len(m) || '):' || coalesce(array_to_string(list_transform(m[1:20], lambda x: chr(10) || '  - ' || x), ''), '') || CASE WHEN len(m) > 20 THEN chr(10) || '  (further changes: ' || (len(m) - 20) || ')' ELSE '' END AS part FROM sp)",
     )
     + f"SELECT video_id, '{render.SCENE_HEAD}' || chr(10) || string_agg(part, chr(10) ORDER BY scene_no) AS prompt FROM pp GROUP BY video_id",
 )

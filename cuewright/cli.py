@@ -1,6 +1,7 @@
 """Command line: the same steps over folders of one or more videos.
 
     python -m cuewright.cli run DATA --url URL | --video-id ID    the dense steps in turn: download, capture, analyze, enrich
+    python -m cuewright.cli download DATA --url URL
     python -m cuewright.cli capture DATA [--recapture]
     python -m cuewright.cli analyze DATA --batch-size 10
     python -m cuewright.cli enrich DATA
@@ -39,6 +40,7 @@ def capture(spark: SparkSession, data: str, again: bool = False, decoder=None) -
     if todo.isEmpty():
         return Status.DONE
     step = capture_plan.dense(todo, decoder or providers.ffmpeg_decoder())
+    sinks.clear(todo.select(F.concat_ws("/", "video_id", F.lit("frames_dense")).alias("path")), data)
     path = F.concat_ws("/", "video_id", "frame_path")
     sinks.write_files(step.tables["frames"].select(path.alias("path"), "content"), data)
     if again:
@@ -57,14 +59,15 @@ def analyze(spark: SparkSession, data: str, batch_size: int) -> Status:
     index = readers.frame_index(readers.texts(spark, f"{data}/*/dense_index.json"))
     state = _files(spark, data, "dense_analysis.json")
     analysis = readers.analysis(state) if state is not None else spark.createDataFrame([], readers.ANALYSIS)
-    step = dense.annotate(index, analysis, None, batch_size)
+    step = dense.annotate(index, analysis, None, batch_size, os.path.abspath(data.removeprefix("file://")))
     if step.status is Status.DONE:
         return step.status
+    # The prompt is written on every run, also where its answer is there already.
+    sinks.write_files(step.pending.select(F.concat_ws("/", "video_id", "prompt_file").alias("path"), F.col("prompt").alias("content")), data)
     files = _files(spark, data, "dense_batch_response_*.json")
     labels = step.pending.select("video_id", F.col("response_file").alias("file_name"))
     answers = files.join(labels, ["video_id", "file_name"], "left_semi") if files is not None else None
     if answers is None or answers.isEmpty():
-        sinks.write_files(step.pending.select(F.concat_ws("/", "video_id", "prompt_file").alias("path"), F.col("prompt").alias("content")), data)
         return Status.PENDING
     done = dense.annotate(index, analysis, readers.analysis(answers), batch_size)
     texts = done.tables["frame_texts"]
@@ -104,7 +107,8 @@ def find_gaps(spark: SparkSession, data: str, settings: Settings | None = None)
         name = F.concat(F.lit("gaps_prompt_"), F.regexp_replace("file_name", r"\.vtt$", ""), F.lit(".txt"))
         sinks.write_files(step.pending.select(F.concat_ws("/", "video_id", name).alias("path"), F.col("prompt").alias("content")), data)
         return step.status
-    out = gap_ops.renest(step.tables["gaps"], ["exact_timestamp", "context_snippet"])
+    fields = ["exact_timestamp", "context_snippet"]
+    out = gap_ops.renest(step.tables["gaps"].select(*gap_ops.KEYS, "gap_idx", *fields).unionByName(gap_ops.without_gaps(response)), fields)
     sinks.write_files(out.select(F.concat_ws("/", "video_id", F.lit("targets.json")).alias("path"), F.col("targets").alias("content")), data)
     return step.status
 
@@ -125,7 +129,7 @@ def extract(spark: SparkSession, data: str, seek=None) -> Status:
     """Frames of the gaps; a gap keeps its frame's path even where decoding failed, and only readiness looks at the file."""
     named = gap_ops.with_frames(_targets(spark, data), "frames")
     there = _files_of(spark, f"{data}/*/frames", "*.jpg")
-    step = capture_plan.targeted(named, readers.videos(spark, f"{data}/*", "targeted"), there, seek or providers.ffmpeg_seek())
+    step = capture_plan.targeted(named.filter("gap_idx IS NOT NULL"), readers.videos(spark, f"{data}/*", "targeted"), there, seek or providers.ffmpeg_seek())
     sinks.write_files(step.tables["frames"].select(F.concat_ws("/", "video_id", "frame_path").alias("path"), "content"), data)
     _write_targets(named, data)
     return Status.DONE
@@ -160,12 +164,16 @@ class _WithImages:
         return self.provider.answer(requests.join(self.images, "frame_path"))
 
 
+def fetch(data: str, url: str | None) -> Status:
+    """A video and its captions into the folder of its id."""
+    video = remote.remote_video_id(url) if url else None
+    return Status.DONE if video and remote.download(url, os.path.join(data, video)) else Status.FAILED
+
+
 def run(spark: SparkSession, data: str, url: str | None, batch_size: int, again: bool) -> Status:
     """The dense steps in turn; stops where one fails or waits."""
-    if url:
-        video = remote.remote_video_id(url)
-        if video is None or not remote.download(url, os.path.join(data, video)):
-            return Status.FAILED
+    if url and fetch(data, url) is not Status.DONE:
+        return Status.FAILED
     for step in (lambda: capture(spark, data, again), lambda: analyze(spark, data, batch_size), lambda: enrich(spark, data)):
         status = step()
         if status is not Status.DONE:
@@ -204,7 +212,7 @@ def _write_transcripts(woven, data: str) -> None:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     parser = argparse.ArgumentParser(prog="cuewright")
-    parser.add_argument("step", choices=["run", "capture", "analyze", "enrich", "gaps", "frames", "describe", "stitch"])
+    parser.add_argument("step", choices=["run", "download", "capture", "analyze", "enrich", "gaps", "frames", "describe", "stitch"])
     parser.add_argument("data")
     source = parser.add_mutually_exclusive_group()
     source.add_argument("--url")
@@ -220,8 +228,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if not os.path.isdir(os.path.join(args.data.removeprefix("file://"), args.video_id or "")):
         print(f"no folder {args.data}", file=sys.stderr)
         return Status.FAILED
+    if args.step == "download":
+        return int(fetch(args.data, args.url))
     spark = spark or SparkSession.builder.appName("cuewright").getOrCreate()
-    settings = Settings.from_env({**os.environ, **({"LLM_PROVIDER": args.provider} if args.provider else {})})
+    settings = Settings.from_env({**providers.read_env(), **os.environ, **({"LLM_PROVIDER": args.provider} if args.provider else {})})
     steps = {
         "run": lambda: run(spark, args.data, args.url, args.batch_size, args.recapture),
         "capture": lambda: capture(spark, args.data, args.recapture),
@@ -235,5 +245,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     return int(steps[args.step]())
 
 
-if __name__ == "__main__":
+def command() -> None:
     sys.exit(main())
+
+
+if __name__ == "__main__":
+    command()

@@ -41,11 +41,12 @@ def from_response(responses: DataFrame, json_col: str = "response") -> DataFrame
 
 
 def explode_targets(targets: DataFrame, json_col: str = "targets") -> DataFrame:
-    """Rows of nested targets (video_id, targets JSON); presence of a key counts, even with a null value."""
+    """Rows of nested targets (video_id, targets JSON); presence of a key counts, even with a null value. A file without gaps has one
+    row, with no gap_idx."""
     files = targets.select("video_id", F.posexplode(F.map_entries(F.from_json(json_col, TARGETS))).alias("file_pos", "e"))
     # Of equal file names the last value holds, at the first place.
     files = files.groupBy("video_id", F.col("e.key").alias("file_name")).agg(F.min("file_pos").alias("file_pos"), F.max_by("e.value", "file_pos").alias("gaps"))
-    gap = files.select(*KEYS, "file_pos", F.posexplode("gaps").alias("gap_idx", "g"))
+    gap = files.select(*KEYS, "file_pos", F.posexplode_outer("gaps").alias("gap_idx", "g"))
     return gap.select(
         *KEYS,
         F.col("file_pos").cast("bigint"),
@@ -59,11 +60,26 @@ def explode_targets(targets: DataFrame, json_col: str = "targets") -> DataFrame:
 
 
 def renest(gaps: DataFrame, fields: list[str]) -> DataFrame:
-    """One JSON text a video: {file: [gap, ...]} with gaps by index and files by place or name; null fields are left out."""
-    one = F.struct("gap_idx", F.struct(*fields).alias("gap"))
-    files = gaps.groupBy(*KEYS).agg(F.transform(F.array_sort(F.collect_list(one)), lambda x: x["gap"]).alias("gaps"))
-    nested = F.map_from_entries(F.array_sort(F.collect_list(F.struct("file_name", "gaps"))))
-    return files.groupBy("video_id").agg(F.to_json(nested).alias("targets"))
+    """One JSON text a video: {file: [gap, ...]} with gaps by index and files by name. Null fields are left out, but a description that
+    is there as a null stays one; a file whose only row has no gap_idx has an empty list."""
+    gap = F.to_json(F.struct(*fields))
+    if "vlm_description" in fields and "has_vlm_description" in gaps.columns:
+        inner = F.substr(gap, F.lit(2), F.length(gap) - 2)
+        named = F.concat(F.lit("{"), F.concat_ws(",", F.when(inner != "", inner), F.lit('"vlm_description":null')), F.lit("}"))
+        gap = F.when(F.col("has_vlm_description") & F.col("vlm_description").isNull(), named).otherwise(gap)
+    one = F.when(F.col("gap_idx").isNotNull(), F.struct("gap_idx", gap.alias("gap")))
+    files = gaps.groupBy(*KEYS).agg(F.array_join(F.transform(F.array_sort(F.collect_list(one)), lambda x: x["gap"]), ",").alias("gaps"))
+    quoted = F.to_json(F.array("file_name"))
+    entry = F.concat(F.substr(quoted, F.lit(2), F.length(quoted) - 2), F.lit(":["), "gaps", F.lit("]"))
+    entries = F.transform(F.array_sort(F.collect_list(F.struct("file_name", entry.alias("entry")))), lambda x: x["entry"])
+    return files.groupBy("video_id").agg(F.concat(F.lit("{"), F.array_join(entries, ","), F.lit("}")).alias("targets"))
+
+
+def without_gaps(responses: DataFrame, json_col: str = "response") -> DataFrame:
+    """The files of responses that list no gap, as ``renest`` takes them."""
+    none = F.lit(None).cast("string")
+    empty = responses.filter(F.size(F.from_json(json_col, RESPONSE)["gaps"]) == 0)
+    return empty.select(*KEYS, F.lit(None).cast("bigint").alias("gap_idx"), none.alias("exact_timestamp"), none.alias("context_snippet"))
 
 
 def gap_map(gaps: DataFrame) -> DataFrame:

@@ -35,6 +35,20 @@ class Settings:
         return cls(env.get("LLM_PROVIDER", "table"), env.get("MODEL_NAME"), held)
 
 
+def read_env(path: str = ".env") -> dict[str, str]:
+    """The settings of a file of lines NAME=value, if it is there; comments and quotes around values fall off."""
+    import os
+
+    out: dict[str, str] = {}
+    if os.path.isfile(path):
+        with open(path, encoding="utf-8") as file:
+            for line in file:
+                name, sign, value = line.strip().removeprefix("export ").partition("=")
+                if sign and not name.startswith("#"):
+                    out[name.strip()] = value.strip().strip("\"'")
+    return out
+
+
 class ResponseTable:
     """Answers that are already there: (request_id, response). Without an answer a request is pending."""
 

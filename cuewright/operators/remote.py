@@ -12,6 +12,9 @@ from .providers import Settings
 
 #: Tokens that an answer about one frame may have.
 ANSWER_TOKENS = 300
+# The models that are asked where no name is set, for gaps and for images.
+GAP_MODELS = {"openai": "gpt-4o", "gemini": "gemini-2.5-flash"}
+IMAGE_MODELS = {"openai": "gpt-4o", "gemini": "gemini-1.5-pro"}
 #: What a list of gaps looks like.
 GAPS_SCHEMA = {
     "type": "object",
@@ -31,7 +34,7 @@ def _client(library: str, key: str | None):
 
 def gaps(settings: Settings) -> Callable[[str], str]:
     """A prompt with a transcript -> JSON of its gaps."""
-    key, model = settings.keys, settings.model
+    key, model = settings.keys, settings.model or GAP_MODELS.get(settings.provider)
 
     def openai(prompt: str) -> str:
         kind = {"type": "json_schema", "json_schema": {"name": "gaps", "schema": GAPS_SCHEMA, "strict": True}}
@@ -47,7 +50,7 @@ def gaps(settings: Settings) -> Callable[[str], str]:
 
 def describe(settings: Settings) -> Callable[[str, bytes], str]:
     """A prompt and a JPEG -> what it shows, stripped."""
-    key, model = settings.keys, settings.model
+    key, model = settings.keys, settings.model or IMAGE_MODELS.get(settings.provider)
 
     def openai(prompt: str, image: bytes) -> str:
         url = f"data:image/jpeg;base64,{base64.b64encode(image).decode()}"
@@ -80,7 +83,7 @@ def remote_video_id(url: str) -> str | None:
 
 def download(url: str, folder: str) -> bool:
     """A video and its English and Russian captions into a folder; whether that worked."""
-    options = ["-f", "bestvideo[ext=mp4]+bestaudio[ext=m4a]/best[ext=mp4]", "--write-subs", "--write-auto-subs", "--sub-langs", "en,ru", "--sub-format", "vtt", "--no-playlist"]
+    options = ["-f", "bestvideo[ext=mp4]+bestaudio[ext=m4a]/best[ext=mp4]/best", "--write-subs", "--write-auto-subs", "--sub-langs", "en,ru", "--sub-format", "vtt", "--no-playlist"]
     try:
         subprocess.run(["yt-dlp", *options, "-o", f"{folder}/%(id)s.%(ext)s", url], check=True)
     except (OSError, subprocess.SubprocessError):

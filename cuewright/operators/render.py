@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from ..functions.text import col, or_falsy
 from .scenes import capped, meaningful
 
-BATCH_HEAD = "Describe each video frame below in full, then say how it differs from the frame before it (or No change)."
+BATCH_HEAD = (
+    "Describe each video frame below in full, then say how it differs from the frame before it. "
+    'Answer with one JSON object and nothing else: {"<frame key>": {"description": "<all that is visible>", "delta": "<what is new or gone>"}}, one entry a frame. '
+    "delta is exactly No change where nothing is, and Scene start for the first frame of all."
+)
+#: Words around what a prompt shows.
+BEFORE, FIRST, LISTED = "The frame before shows: ", "nothing, as none was described yet", "The frames of this batch:"
 SCENE_HEAD = "Write one polished paragraph for each scene below, as JSON from its start time to the paragraph."
 GAP_HEAD = "List the moments of this transcript that need the picture to be understood, as JSON {\"gaps\": [{\"exact_timestamp\", \"context_snippet\"}]}."
 COMMENTARY_INTRO = "What is shown on screen, scene by scene.\n"
@@ -24,13 +30,15 @@ def frame_text(description: Column | str = "description", delta: Column | str =
     return F.concat(F.lit("[Description]\n"), F.coalesce(col(description), F.lit("")), F.lit("\n\n[Delta]\n"), F.coalesce(col(delta), F.lit("")), F.lit("\n"))
 
 
-def batch_prompt(batch: DataFrame, previous: DataFrame) -> DataFrame:
-    """One prompt a video: the head, the previous description, and the batch's frames (frame_key, frame_path) by key."""
-    line = F.concat(F.lit("- "), "frame_key", F.lit(": "), "frame_path")
+def batch_prompt(batch: DataFrame, previous: DataFrame, root: str | None = None) -> DataFrame:
+    """One prompt a video: the head, the previous description, and the batch's frames (frame_key, frame_path) by key; with the folder
+    that holds the videos' folders (``root``) the paths are absolute."""
+    path = F.col("frame_path") if root is None else F.concat_ws("/", F.lit(root), "video_id", "frame_path")
+    line = F.concat(F.lit("- "), "frame_key", F.lit(": "), path)
     listed = batch.groupBy("video_id").agg(ordered_text(line, "frame_key", "\n").alias("frames"))
-    said = or_falsy("previous_description", "None (this is the first frame)")
+    said = or_falsy("previous_description", FIRST)
     return listed.join(previous, "video_id", "left").select(
-        "video_id", F.concat(F.lit(f"{BATCH_HEAD}\n\nPrevious frame description: "), said, F.lit("\n\nFrames to analyze:\n"), "frames").alias("prompt")
+        "video_id", F.concat(F.lit(f"{BATCH_HEAD}\n\n{BEFORE}"), said, F.lit(f"\n\n{LISTED}\n"), "frames").alias("prompt")
     )
 
 
@@ -39,7 +47,7 @@ def scene_lines(cap: int = 20) -> Column:
     said = meaningful("deltas")
     first, more = capped(said, cap)
     items = F.transform(first, lambda d: F.concat(F.lit("\n  - "), d))
-    rest = F.when(more > 0, F.concat(F.lit("\n  ... and "), more.cast("string"), F.lit(" more changes"))).otherwise("")
+    rest = F.when(more > 0, F.concat(F.lit("\n  (further changes: "), more.cast("string"), F.lit(")"))).otherwise("")
     head = F.concat(F.lit("\n["), "start_ts", F.lit(" --> "), "end_ts", F.lit("]\nFirst frame: "), "first_description", F.lit("\nChanges ("), F.size(said).cast("string"), F.lit("):"))
     return F.concat(head, F.array_join(items, ""), rest)
 

@@ -20,7 +20,7 @@ class Step:
     pending: DataFrame | None = None
 
 
-def annotate(index: DataFrame, analysis: DataFrame, response: DataFrame | None, batch_size: int = 10) -> Step:
+def annotate(index: DataFrame, analysis: DataFrame, response: DataFrame | None, batch_size: int = 10, root: str | None = None) -> Step:
     """Ask for each video's next batch, or merge a response to it.
 
     The step is pending while frames are left, counted by anti-join; a response that covers none of its batch is a failure, as
@@ -30,7 +30,7 @@ def annotate(index: DataFrame, analysis: DataFrame, response: DataFrame | None,
     batch = backlog.next_batch_per_video(left, batch_size)
     if batch.isEmpty():
         return Step(Status.DONE, {"analysis": analysis})
-    prompts = render.batch_prompt(batch, backlog.previous_description(index, analysis)).join(backlog.labels(batch), "video_id")
+    prompts = render.batch_prompt(batch, backlog.previous_description(index, analysis), root).join(backlog.labels(batch), "video_id")
     if response is None:
         return Step(Status.PENDING, {"analysis": analysis, "batch": batch}, prompts)
     merged = backlog.merge(analysis, response)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,13 +18,11 @@ def output_name(name: Column | str) -> Column:
 
 def write_files(rows: DataFrame, root: str, path_col: str = "path", content_col: str = "content") -> None:
     """One file a row under a root on a file system that all executors share; a file is replaced as a whole."""
-    import os
-
     root = root.removeprefix("file://")
 
     def put(part):
         for row in part:
-            at = os.path.join(root, row[path_col])
+            at = _below(root, row[path_col])
             os.makedirs(os.path.dirname(at), exist_ok=True)
             data = row[content_col]
             with open(f"{at}.part", "wb") as file:
@@ -31,6 +32,25 @@ def write_files(rows: DataFrame, root: str, path_col: str = "path", content_col:
     rows.select(path_col, content_col).foreachPartition(put)
 
 
+def _below(root: str, path: str) -> str:
+    """A path under the root; names come from responses, so one that leads out of it is an error."""
+    at = os.path.normpath(os.path.join(root, path))
+    if not at.startswith(os.path.normpath(root) + os.sep):
+        raise ValueError(f"{path!r} isn't below {root!r}")
+    return at
+
+
+def clear(folders: DataFrame, root: str, path_col: str = "path") -> None:
+    """Remove folders under a root, so that what is written next is all there is in them."""
+    root = root.removeprefix("file://")
+
+    def remove(part):
+        for row in part:
+            shutil.rmtree(_below(root, row[path_col]), ignore_errors=True)
+
+    folders.select(path_col).foreachPartition(remove)
+
+
 def json_map(df: DataFrame, key: str, value: Column | str, keep_nulls: bool = True) -> DataFrame:
     """One JSON object a video, keys in order."""
     value = F.col(value) if isinstance(value, str) else value

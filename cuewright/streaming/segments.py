@@ -26,7 +26,9 @@ def merge_responses(responses: DataFrame, state_path: str, checkpoint: str) -> S
 
     def upsert(batch: DataFrame, number: int) -> None:
         old = state(batch.sparkSession, state_path, number - 1)
-        last = batch.groupBy("video_id", "frame_key").agg(F.max_by(F.struct("description", "delta"), F.struct("description", "delta")).alias("x"))
+        # The last of a batch holds, in the order in which it was read.
+        read = batch.select("video_id", "frame_key", F.struct("description", "delta").alias("entry"), F.monotonically_increasing_id().alias("place"))
+        last = read.groupBy("video_id", "frame_key").agg(F.max_by("entry", "place").alias("x"))
         merge(old, last.select("video_id", "frame_key", "x.*")).write.mode("overwrite").parquet(f"{state_path}/version={number}")
 
     return responses.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -19,7 +19,7 @@ def test_command_line(spark, tmp_path):
     (video / "vid.en.vtt").write_text("WEBVTT\n\n1\n00:00:01.000 --> 00:00:02.500\nHi\n\n")
     run = lambda step, *more: cli.main([step, str(tmp_path), *more], spark)
     assert run("analyze", "--batch-size", "2") == Status.PENDING
-    assert (video / "dense_batch_prompt_000001-000002.txt").read_text().endswith("000002: frames_dense/frame_000002.jpg")
+    assert (video / "dense_batch_prompt_000001-000002.txt").read_text().endswith(f"000002: {tmp_path}/vid/frames_dense/frame_000002.jpg")
     (video / "dense_batch_response_000001-000002.json").write_text(json.dumps({"000001": {"description": "é", "delta": "Scene start"}, "000002": {"description": "b", "delta": "No change"}}))
     assert run("analyze", "--batch-size", "2") == Status.PENDING
     assert (video / "frames_dense/frame_000001.txt").read_text() == "[Description]\né\n\n[Delta]\nScene start\n"
