@@ -20,6 +20,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Rows that a Python worker holds as objects at once.
 ROWS = 256
 
+#: Spark's setting by which an execution's shuffle files are removed when it ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 _held: dict = {}
 
@@ -62,9 +65,21 @@ def drop(spark: SparkSession, path: str) -> None:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, so that lost executors cost no recomputation of what stands before."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage with a reliable checkpoint, so that lost executors cost no recomputation of what stands before.
+
+    Nothing can read the shuffles of it once the checkpoint is written; they go at once, not when the driver next collects garbage.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # a plan of its own, made under the setting
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cuewright.llm import licenses, mixing, simhash, toxicity
+from cuewright.llm import common, licenses, mixing, simhash, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = [a + b for a in ("ta", "re", "mo", "li", "ka", "su") for b in ("n", "ro", "vel", "dis", "por")]
@@ -482,3 +482,14 @@ def test_licence_files_by_distinguishing_terms(spark):
     rows = [(i, f"d{i}/LICENSE", text) for i, text in enumerate(want.values())]
     got = {r.id: r.license for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, path string, text string"), F.col("path")).collect()}
     assert got == dict(enumerate(want))
+
+
+def test_settled_rows_stay_when_their_shuffles_go(spark):
+    counts = spark.range(1_000).groupBy((F.col("id") % 10).alias("k")).count()
+    before = spark.conf.get(common.FREE_SHUFFLES, None)
+    first = common.settle(counts.join(counts.withColumnRenamed("count", "again"), "k"))
+    second = common.settle(first.groupBy("count", "again").agg(F.count("*").alias("n")))
+    assert spark.conf.get(common.FREE_SHUFFLES, None) == before
+    assert sorted(tuple(r) for r in first.collect()) == [(k, 100, 100) for k in range(10)]
+    assert [tuple(r) for r in second.collect()] == [(100, 100, 10)]
+    assert counts.count() == 10  # what was settled can still be run by itself
