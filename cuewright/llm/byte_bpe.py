@@ -142,18 +142,28 @@ def codec(path: str | None = None, pattern: str | None = None) -> Codec:
     return held(("codec", *key), lambda: Codec(*key))
 
 
-def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, pattern: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP, small: int = SMALL, small_overlap: int = SMALL_OVERLAP) -> DataFrame:
-    """id, n_tokens and ids (little-endian unsigned 32-bit integers) of each row."""
+def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, pattern: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP, small: int = SMALL, small_overlap: int = SMALL_OVERLAP, decoded: bool = False) -> DataFrame:
+    """id, n_tokens and ids (little-endian unsigned 32-bit integers) of each row; ``decoded`` adds bytes, what the ids decode to.
+
+    The worker that encodes a text then decodes its ids, too: a step of its own would take a second worker a task, with a vocabulary.
+    """
     docs = df.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     long = F.char_length("text") > chunk + overlap
 
     def make():
-        work = codec(path, pattern).encode_chunks
-        return lambda texts: [[work(t, small, small_overlap) for t in texts]]
+        own = codec(path, pattern)
+
+        def run(texts):
+            ids = [own.encode_chunks(t, small, small_overlap) for t in texts]
+            return [ids, [own.decode(x) for x in ids]] if decoded else [ids]
+
+        return run
 
-    short = append_columns(docs.filter(~long), ["text"], ["id"], [("ids", T.BinaryType())], make)
-    out = short.unionByName(_encode_long(docs.filter(long), path, pattern, chunk, overlap))
-    return out.select("id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids")
+    made = ["ids", "bytes"] if decoded else ["ids"]
+    short = append_columns(docs.filter(~long), ["text"], ["id"], [(c, T.BinaryType()) for c in made], make)
+    rest = _encode_long(docs.filter(long), path, pattern, chunk, overlap)
+    out = short.unionByName(decode(rest, ["id", "ids"], path=path, pattern=pattern) if decoded else rest)
+    return out.select("id", (F.length("ids") / 4).cast("long").alias("n_tokens"), *made)
 
 
 def _encode_long(docs: DataFrame, path, pattern, chunk, overlap) -> DataFrame:

@@ -24,8 +24,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = byte_bpe.encode(read(spark, sf_dir, "documents"))
-    out = byte_bpe.decode(coded, ["id", "n_tokens", "ids"])
+    out = byte_bpe.encode(read(spark, sf_dir, "documents"), decoded=True)
     return out.select(F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 

@@ -55,6 +55,16 @@ def test_long_texts_are_stitched(spark, encoding, chunk, overlap):
     want = sorted((i % 43, packed(encoding, t)) for i, t in enumerate(texts))
     for how in ({"chunk": chunk, "overlap": overlap}, {"small": chunk, "small_overlap": overlap}):  # over workers, and within one
         assert sorted((r.id, bytes(r.ids)) for r in byte_bpe.encode(rows, **how).collect()) == want
+        both = byte_bpe.encode(rows, decoded=True, **how).collect()
+        assert sorted((r.id, bytes(r.ids)) for r in both) == want
+        assert sorted((r.id, bytes(r.bytes)) for r in both) == sorted((i % 43, t.encode()) for i, t in enumerate(texts))
+
+
+def test_decoding_beside_encoding_equals_a_step_of_its_own(docs):
+    names = ["id", "n_tokens", "ids", "bytes"]
+    apart = byte_bpe.decode(byte_bpe.encode(docs), names[:3]).select(names)
+    both = byte_bpe.encode(docs, decoded=True)
+    assert both.columns == names and both.exceptAll(apart).isEmpty() and apart.exceptAll(both).isEmpty()
 
 
 def test_stitching_within_a_worker(encoding):
