@@ -59,8 +59,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document and the digest of what they decode to."""
-    coded = byte_bpe.encode(docs)
-    out = byte_bpe.decode(coded, ["id", "n_tokens", "ids"])
+    out = byte_bpe.encode(docs, decoded=True)
     return out.select(F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
