@@ -76,6 +76,7 @@ def settle(df: DataFrame) -> DataFrame:
     try:
         return df.select("*").checkpoint(eager=True)  # a plan of its own, made under the setting
     finally:
+        spark._jvm.System.gc()  # finished plans and their metrics; the driver's heap would grow over many steps before it is collected
         if before is None:
             spark.conf.unset(FREE_SHUFFLES)
         else:
