@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import gc
 import tempfile
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,6 +66,19 @@ def drop(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def tidy_driver(spark: SparkSession) -> None:
+    """Collect the driver's garbage (finished plans and their metrics) and give back what its native heap has freed: over many steps the
+    driver would hold both. A Java without that command keeps the latter."""
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    jvm.System.gc()
+    name = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+    invoke = next(m for m in jvm.java.lang.Class.forName("javax.management.MBeanServerConnection").getMethods() if m.getName() == "invoke")
+    args = gateway.new_array(jvm.Object, 4)  # the last two, of the command's own arguments, stay null
+    args[0], args[1] = name, "systemTrimNativeHeap"
+    with contextlib.suppress(Py4JJavaError):
+        invoke.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), args)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint, so that lost executors cost no recomputation of what stands before.
 
@@ -76,7 +91,7 @@ def settle(df: DataFrame) -> DataFrame:
     try:
         return df.select("*").checkpoint(eager=True)  # a plan of its own, made under the setting
     finally:
-        spark._jvm.System.gc()  # finished plans and their metrics; the driver's heap would grow over many steps before it is collected
+        tidy_driver(spark)
         if before is None:
             spark.conf.unset(FREE_SHUFFLES)
         else:
@@ -126,4 +141,4 @@ def word_count(text: str | F.Column) -> F.Column:
     return F.coalesce(F.size(F.array_remove(F.split(text, SPACE + "+"), "")), F.lit(0)).cast("long")
 
 
-__all__ = ["SPACE", "WORD", "append_columns", "drop", "held", "read", "settle", "shared_dir", "tidy", "word_count"]
+__all__ = ["SPACE", "WORD", "append_columns", "drop", "held", "read", "settle", "shared_dir", "tidy", "tidy_driver", "word_count"]

@@ -239,6 +239,23 @@ def test_lone_pairs_among_many_that_share_a_passage(spark, monkeypatch, common,
     assert similar_components(spark, texts, keys) == want
 
 
+def test_driver_gives_back_what_it_freed(spark):
+    """Native memory that Java has freed below some that it still holds goes back when a table is settled."""
+    import re
+
+    jvm = spark._jvm
+    pid = jvm.java.lang.ProcessHandle.current().pid()
+    resident = lambda: int(re.search(r"VmRSS:\s+(\d+)", open(f"/proc/{pid}/status").read())[1]) / 1024  # noqa: E731, SIM115
+    held = [jvm.java.util.zip.Deflater() for _ in range(1200)]
+    for x in held[:-1]:
+        x.end()
+    before = resident()
+    common.settle(spark.range(1))
+    after = resident()
+    held[-1].end()
+    assert after < before - 50, (before, after)
+
+
 def test_similar_links_of_a_table(spark):
     """All links of whole table sf0.01, by counting the shingles that texts share."""
     from collections import Counter, defaultdict
