@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import append_columns, settle, tidy
+from .common import ROWS, append_columns, settle, tidy
 
 RADIUS = 2
 BITS = 64
@@ -45,6 +45,8 @@ COMMON, SHARE, BLOCK = 500, 1 / 3, 2_000
 WIDEST = 8_192
 #: Rows (a document's place in a shard, a shingle) up to which a table is sent to every task; larger ones are joined by a shuffle.
 SENT = 50_000
+#: Shingles that a worker gathers before it adds them up.
+COUNTED = 1 << 20
 #: Hashes of ids up to which they are sent to every task, so that only the texts that are wanted are shuffled.
 HASHES = 1_000_000
 
@@ -366,7 +368,7 @@ def _rare_first(docs: DataFrame, base: DataFrame, hot: DataFrame, similarity: fl
     Common is what is hot among the keys, and then what more than ``COMMON`` of those texts have that have much in common, until no
     more texts have. Of those texts the sets are fetched; any other keeps what isn't common of its least shingles, in their order.
     """
-    held, each = None, _each(base)
+    held, counted, each = None, None, _each(base)
     while True:
         gone = each.join(_sent(hot, hot.count()), "key").groupBy("digest").agg(F.collect_set("key").alias("gone"))
         gone = settle(gone.join(base.select("digest", "id", "root", "size", "keys"), "digest"))
@@ -378,8 +380,8 @@ def _rare_first(docs: DataFrame, base: DataFrame, hot: DataFrame, similarity: fl
             break
         new = settle(_sets(docs, some, words))
         held = new if held is None else settle(held.unionByName(new))
-        often = held.select(F.explode("set").alias("key")).groupBy("key").count().filter(F.col("count") > COMMON).select("key")
-        hot = settle(hot.unionByName(often).distinct())
+        counted = settle(_counted(new, counted))
+        hot = settle(hot.unionByName(counted.select(F.explode("often").alias("key"))).distinct())
     left = base.join(gone.select("digest", "gone"), "digest", "left")
     left = left.select("digest", "root", F.when(F.col("gone").isNull(), F.col("keys")).otherwise(F.array_except("keys", "gone")).alias("keys"))
     if held is None:
@@ -388,6 +390,63 @@ def _rare_first(docs: DataFrame, base: DataFrame, hot: DataFrame, similarity: fl
     return settle(left.join(held.select("digest"), "digest", "left_anti").unionByName(placed))
 
 
+def _counted(sets: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """Of each bucket of shingles: the keys, the numbers of sets that have them, and which more than ``COMMON`` have (``often``).
+
+    Adds the sets of (set) to what was counted ``before``. Workers add up their shingles and deal them as arrays, a row a bucket, so
+    that no set is counted in two rounds and what many texts of a task have in common is dealt once.
+    """
+    buckets, most = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), COMMON
+
+    def added(parts):
+        keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+        return keys, np.bincount(at, weights=np.concatenate([n for _, n in parts])).astype(np.int64)
+
+    def dealt(parts):
+        keys, numbers = added(parts)
+        bucket = (keys.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        own, first = np.unique(bucket[order], return_index=True)
+        offsets = pa.array(np.append(first, len(order)), pa.int32())
+        columns = [pa.array(own), *(pa.ListArray.from_arrays(offsets, pa.array(x[order])) for x in (keys, numbers))]
+        return pa.RecordBatch.from_arrays(columns, names=["bucket", "keys", "numbers"])
+
+    def deal(batches):
+        parts, n = [], 0
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                own = whole.column("set").slice(at, ROWS).flatten().to_numpy()
+                parts.append((own, np.ones(len(own), dtype=np.int64)))
+                n += len(own)
+                if n > COUNTED:
+                    yield dealt(parts)
+                    parts, n = [], 0
+        if n:
+            yield dealt(parts)
+        tidy()
+
+    def gather(batches):
+        parts, n, limit = {}, 0, COUNTED
+        for batch in batches:
+            for bucket, keys, numbers in zip(*(batch.column(c) for c in ("bucket", "keys", "numbers")), strict=True):
+                parts.setdefault(bucket.as_py(), []).append((keys.values.to_numpy().copy(), numbers.values.to_numpy().copy()))
+                n += len(keys)
+                if n > limit:
+                    parts = {b: [added(p)] for b, p in parts.items()}
+                    n = sum(len(p[0][0]) for p in parts.values())
+                    limit = max(COUNTED, 2 * n)
+        for bucket in sorted(parts):
+            keys, numbers = added(parts.pop(bucket))
+            columns = [pa.array([bucket]), *(pa.array([x], pa.list_(pa.int64())) for x in (keys, numbers, keys[numbers > most]))]
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "keys", "numbers", "often"])
+        tidy()
+
+    rows = sets.select("set").mapInArrow(deal, "bucket long, keys array<long>, numbers array<long>")
+    if before is not None:
+        rows = rows.unionByName(before.drop("often"))
+    return rows.repartition("bucket").mapInArrow(gather, "bucket long, keys array<long>, numbers array<long>, often array<long>")
+
+
 def _placed(held: DataFrame, hot: DataFrame, similarity: float, keys: int | None) -> DataFrame:
     """The first keys of each set, what isn't common first; up to ``HASHES`` common shingles go to every task, more are joined."""
     if hot.count() <= HASHES:

@@ -239,6 +239,35 @@ def test_lone_pairs_among_many_that_share_a_passage(spark, monkeypatch, common,
     assert similar_components(spark, texts, keys) == want
 
 
+def test_shingles_are_counted_with_those_before(spark, monkeypatch):
+    """Against a plain count; with small bounds workers add up and hand on many times."""
+    from collections import Counter
+
+    monkeypatch.setattr(simhash, "COUNTED", 40)
+    monkeypatch.setattr(simhash, "COMMON", 2)
+    rng = random.Random(8)
+    known = [rng.randrange(-(2**63), 2**63) for _ in range(150)]
+    sets = [sorted(rng.sample(known, rng.randint(0, 12))) for _ in range(120)]
+    table = lambda part: spark.createDataFrame([(s,) for s in part], "set array<long>")
+    want, got = Counter(k for s in sets for k in s), None
+    for part in (sets[:70], [], sets[70:]):
+        got = common.settle(simhash._counted(table(part), got))
+    rows = got.collect()
+    assert sorted(x for r in rows for x in zip(r["keys"], r.numbers, strict=True)) == sorted(want.items())
+    assert sorted(k for r in rows for k in r.often) == sorted(k for k, n in want.items() if n > 2)
+
+
+def test_no_row_a_shingle_of_texts_with_a_passage(spark, monkeypatch):
+    """A group of texts that share a passage is counted within the workers; no step makes a row of each text's each shingle."""
+    monkeypatch.setattr(simhash, "COMMON", 4)
+    plans = []
+    monkeypatch.setattr(simhash, "settle", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or common.settle(df))
+    passage = prose(random.Random(5), 100)
+    texts = [f"{passage} {' '.join(f'own{i}x{k}' for k in range(60))}" for i in range(12)]
+    assert len(set(similar_components(spark, texts, simhash.KEYS).values())) == 12
+    assert any("_sets" in p or "set#" in p for p in plans) and not any("explode(set#" in p for p in plans)
+
+
 def test_driver_gives_back_what_it_freed(spark):
     """Native memory that Java has freed below some that it still holds goes back when a table is settled."""
     import re
